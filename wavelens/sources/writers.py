@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -24,12 +24,15 @@ def write_wave(df: DataFrame, path: str, wave: str, partition: str = "edition")
     )
 
 
-def register_table(
-    spark: SparkSession, name: str, path: str, partition_by: Sequence[str] = ()
-) -> None:
-    """Create the catalog entry for files already written, or bring it up to date."""
-    schema = spark.read.parquet(path).schema
-    columns = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema)
+def register_table(df: DataFrame, name: str, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Create the catalog entry for files already written, or bring it up to date.
+
+    ``df`` only gives the schema, so partition columns keep their types.
+    """
+    spark = df.sparkSession
+    columns = ", ".join(
+        f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema
+    )
     parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet{parts} LOCATION '{path}'")
