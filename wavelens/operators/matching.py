@@ -16,6 +16,9 @@ MIN_SCORE = 0.60
 HIGH_CONFIDENCE = 0.85
 MEDIUM_CONFIDENCE = 0.70
 
+# Room for the last digit of a double when a bound is compared.
+SLACK = 1e-9
+
 
 def match_exact(base: DataFrame, other: DataFrame) -> DataFrame:
     """Names both sides have; both are ``(position, name)`` frames of distinct names."""
@@ -34,37 +37,12 @@ def _letters(name: Column) -> Column:
     )
 
 
-def _keyed_letters(names: DataFrame, rarity: DataFrame, side: str, min_score: float) -> DataFrame:
-    """Each name under the rarest of its letters that any partner must share one of.
-
-    A partner reaching ``min_score`` shares at least ``min_score * n / (2 - min_score)``
-    of the ``n`` letters, so all but that many minus one, rarest first, are enough
-    as join keys.
-    """
-    ranked = (
-        names.select("position", "name", F.explode(F.array_distinct("letters")).alias("letter"))
-        .join(rarity, "letter")
-        .groupBy("position", "name")
-        .agg(F.sort_array(F.collect_list(F.struct("df", "letter"))).alias("by_rarity"))
-    )
-    n = F.size("by_rarity")
-    needed = F.ceil(n * F.lit(min_score / (2 - min_score)) - F.lit(1e-9))
-    keys = F.slice("by_rarity", F.lit(1), (n - needed + 1).cast("int"))
-    ranked = ranked.select(
-        F.col("position").alias(f"{side}_position"),
-        F.col("name").alias(side),
-        F.transform("by_rarity", lambda x: x["letter"]).alias(f"{side}_letters"),
-        F.transform(keys, lambda x: x["letter"]).alias(f"{side}_keys"),
-    )
-    return ranked.withColumn("letter", F.explode(f"{side}_keys"))
-
-
 def similarity(base: Column, other: Column, kind: str) -> Column:
     """``sequence``: matching blocks, twice their length over both lengths, in the
     order (base, other). ``levenshtein``: one minus edits over the longer length."""
     if kind == "levenshtein":
         longer = F.greatest(F.length(base), F.length(other))
-        return F.round(1 - F.levenshtein(base, other) / longer, 4)
+        return 1 - F.levenshtein(base, other) / longer
     if kind != "sequence":
         raise ValueError(f"unknown similarity: {kind}")
 
@@ -78,32 +56,44 @@ def similarity(base: Column, other: Column, kind: str) -> Column:
 def fuzzy_candidates(
     base: DataFrame, other: DataFrame, min_score: float = MIN_SCORE, kind: str = "sequence"
 ) -> DataFrame:
-    """All pairs of names scoring at least ``min_score``, without comparing all pairs.
-
-    Both similarities are at most the share of letters two names have in common
-    (as multisets). Pairs therefore meet in an equi-join on their rarest letters,
-    are kept once (at their first common key), and are scored only if the shared
-    letters allow the threshold. Nothing that could reach it is lost.
+    """All pairs of names scoring at least ``min_score``.
+
+    Neither similarity can exceed what the lengths and the shared letters of two
+    names allow, so a base name is joined, by length, to the names long and short
+    enough for it, and the shared letters are tested inside the join. A pair
+    meets once, only pairs that can still reach the score leave the join, and no
+    pair that reaches it is lost. Names are table headers: both lists are bounded
+    by the width of a table.
     """
-    sides = [df.withColumn("letters", _letters(F.col("name"))) for df in (base, other)]
-    both = sides[0].select("letters").unionAll(sides[1].select("letters"))
-    rarity = (
-        both.select(F.explode("letters").alias("letter"))
-        .groupBy("letter")
-        .agg(F.count(F.lit(1)).alias("df"))
+    if kind == "levenshtein":
+        shortest = min_score
+        possible = F.greatest("base_length", "other_length")
+    else:
+        shortest = min_score / (2 - min_score)
+        possible = (F.col("base_length") + F.col("other_length")) / 2
+    n = F.col("base_length")
+    left = base.select(
+        F.col("position").alias("base_position"),
+        F.col("name").alias("base"),
+        F.length("name").alias("base_length"),
+        _letters(F.col("name")).alias("base_letters"),
     )
-    left = _keyed_letters(sides[0], rarity, "base", min_score)
-    right = _keyed_letters(sides[1], rarity, "other", min_score)
-    shared = F.size(F.array_intersect("base_letters", "other_letters"))
-    bound = shared * 2 / (F.size("base_letters") + F.size("other_letters"))
-    pairs = (
-        left.join(right, "letter")
-        .filter(F.element_at(F.array_intersect("base_keys", "other_keys"), 1) == F.col("letter"))
-        .filter(bound >= min_score - 1e-9)
-        .select("base_position", "base", "other_position", "other")
+    lengths = F.sequence(
+        F.ceil(n * shortest - SLACK).cast("int"), F.floor(n / shortest + SLACK).cast("int")
     )
+    left = left.withColumn("other_length", F.explode(lengths))
+    right = other.select(
+        F.col("position").alias("other_position"),
+        F.col("name").alias("other"),
+        F.length("name").alias("other_length"),
+        _letters(F.col("name")).alias("other_letters"),
+    )
+    shared = F.size(F.array_intersect("base_letters", "other_letters"))
+    pairs = left.join(right, "other_length").filter(shared >= possible * min_score - SLACK)
     scored = pairs.withColumn("score", similarity(F.col("base"), F.col("other"), kind))
-    return scored.filter(F.col("score") >= min_score)
+    return scored.filter(F.col("score") >= min_score).select(
+        "base_position", "base", "other_position", "other", "score"
+    )
 
 
 def assign_one_to_one(pairs: DataFrame) -> DataFrame:

@@ -33,30 +33,27 @@ def ordinal_quantiles(
     column when ``df`` is aggregated already. ``basis`` compares exact counts, or
     the cumulated share rounded to two (``round2``) or no (``round0``) decimals.
 
-    A scale has a fixed, short list of bands, so the slice's histogram is one
-    set of conditional sums: one partial aggregate, one exchange, no window,
-    and no row of a hot slice is moved.
+    A scale has a fixed, short list of bands, so the cumulated counts of a slice
+    are one set of conditional sums: one partial aggregate, one exchange, no
+    window, and no row of a hot slice is moved.
     """
     amount = F.lit(1) if weight is None else F.col(weight)
-    bands = range(1, size + 1)
-    on_scale = F.col(position).between(1, size)
-    rows = not_null(df if off_scale == "lowest" else df.filter(on_scale), dims)
-    histogram = rows.groupBy(*dims).agg(
+    place = F.when(F.col(position).between(1, size), F.col(position))
+    if off_scale == "lowest":
+        rows, place, lowest = df, F.coalesce(place, F.lit(0)), 0
+    else:
+        rows, lowest = df.filter(F.col(position).between(1, size)), 1
+    bands = range(lowest, size + 1)
+    histogram = not_null(rows, dims).groupBy(*dims).agg(
         F.sum(amount).alias(total),
-        *[
-            F.sum(F.when(F.col(position) == i, amount).otherwise(F.lit(0))).alias(f"_b{i}")
-            for i in bands
-        ],
+        *[F.sum(F.when(place <= i, amount).otherwise(F.lit(0))).alias(f"_to{i}") for i in bands],
     )
-    below = F.col(total) - sum((F.col(f"_b{i}") for i in bands), F.lit(0))
-    running = [below]
-    for i in bands:
-        running.append(running[-1] + F.col(f"_b{i}"))
 
     def first_band(q: float) -> Column:
-        band = F.when(_reaches(below, F.col(total), q, basis), F.lit(None).cast("int"))
-        for i in bands:
-            band = band.when(_reaches(running[i], F.col(total), q, basis), F.lit(i))
+        reached = [_reaches(F.col(f"_to{i}"), F.col(total), q, basis) for i in bands]
+        band = F.when(F.lit(False), F.lit(0))
+        for i, test in zip(bands, reached, strict=True):
+            band = band.when(test, F.lit(i) if i else F.lit(None))
         return band
 
     return histogram.select(

@@ -17,7 +17,7 @@ from wavelens.operators import ordinal as od
 from wavelens.operators import profile as pr
 from wavelens.operators import standardize as st
 from wavelens.registry.core import adoption_sql, dist_sql, quantile_sql, register
-from wavelens.session import scratch_path
+from wavelens.session import scratch_path, stored
 from wavelens.sources import readers, writers
 
 R, FL = tv.responses, tv.flags
@@ -423,7 +423,7 @@ register("join_inner_multi_key",
              bands_by_role(s, d).select("edition", "role", "total", "p75"), ["edition", "role", "total"]),
          _BANDS_BY_ROLE)
 register("join_self_waves",
-         lambda s, d: ev.compare_waves(bands_by_role(s, d), ["role"], "edition", ["p50", "p75"], "1996", "2000"),
+         lambda s, d: ev.compare_waves(stored(bands_by_role(s, d), "bands"), ["role"], "edition", ["p50", "p75"], "1996", "2000"),
          f"WITH b AS ({_BANDS_BY_ROLE}) SELECT x.role, x.p50 AS p50_first, x.p75 AS p75_first, y.p50 AS p50_last, y.p75 AS p75_last "
          "FROM b x JOIN b y ON x.role = y.role WHERE x.edition = '1996' AND y.edition = '2000'")
 
@@ -501,7 +501,7 @@ register("profile_duplicates",
          lambda s, d: pr.duplicate_count(R(s, d).select("edition", "role", "level", "region", "pay_band")),
          "SELECT CAST(sum(n) AS BIGINT) AS rows, count(*) AS distinct_rows, CAST(sum(n) - count(*) AS BIGINT) AS duplicates "
          "FROM (SELECT count(*) AS n FROM responses GROUP BY edition, role, level, region, pay_band) t")
-register("agg_latest_wave", lambda s, d: ev.in_latest_wave(dist(s, d), "edition"),
+register("agg_latest_wave", lambda s, d: ev.in_latest_wave(stored(dist(s, d), "distribution"), "edition"),
          f"WITH g AS ({DIST}) SELECT * FROM g WHERE edition = (SELECT max(edition) FROM g)")
 MODELS = ["hybrid", "onsite", "remote"]
 register("agg_matrix_avg",
@@ -590,7 +590,8 @@ register("sort_by_ordinal", sort_by_ordinal,
 register("topk_global", lambda s, d: role_counts(s, d).orderBy(F.desc("n"), "edition", "role", "region").limit(5),
          f"SELECT * FROM ({_ROLE_COUNTS}) c ORDER BY n DESC, edition, role, region LIMIT 5")
 register("topk_history",
-         lambda s, d: ev.topk_history(dist(s, d).filter(F.col("variable") == "role"), "value", "pct", "edition", "2001", 3),
+         lambda s, d: ev.topk_history(
+             stored(dist(s, d), "distribution").filter(F.col("variable") == "role"), "value", "pct", "edition", "2001", 3),
          f"WITH g AS ({DIST}) SELECT * FROM g WHERE variable = 'role' AND value IN (SELECT value FROM g WHERE variable = 'role' AND edition = '2001' ORDER BY pct DESC, value LIMIT 3)")
 
 # --- sets -------------------------------------------------------------------------------

@@ -41,9 +41,10 @@ def with_views(sql: str) -> str:
     used = [f"{n} AS MATERIALIZED ({t})" for n, t in VIEWS.items() if re.search(rf"\b{n}\b", sql)]
     if not used:
         return sql
-    body = sql.strip()
-    own = body[4:] if body[:5].upper() == "WITH " else None
-    return "WITH " + ", ".join(used) + (f", {own}" if own else f" {body}")
+    head = re.match(r"\s*WITH( RECURSIVE)? ", sql)
+    if head is None:
+        return f"WITH {', '.join(used)} {sql.strip()}"
+    return f"WITH{head[1] or ''} {', '.join(used)}, {sql[head.end():]}"
 
 
 # --- pieces of check SQL ----------------------------------------------------------

@@ -9,6 +9,7 @@ from wavelens.plans import fixed_values as v
 from wavelens.plans import gold
 from wavelens.plans.reports import REPORTS
 from wavelens.registry.core import adoption_sql, dist_sql, quantile_sql, register
+from wavelens.session import stored
 
 W1, W2, W3 = v.WAVES
 
@@ -283,6 +284,6 @@ for _table, _build in gold.TABLES.items():
 for _name, (_table, _report) in REPORTS.items():
     register(
         f"result_{_name}",
-        lambda s, d, t=_table, r=_report: r(gold.TABLES[t](_source(s, d, t))),
+        lambda s, d, t=_table, r=_report: r(stored(gold.TABLES[t](_source(s, d, t)), t)),
         _with_gold(_table, SQL[_name]),
     )

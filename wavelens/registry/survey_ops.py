@@ -163,8 +163,8 @@ def match_unmatched(s, d):
 
 register("match_unmatched", match_unmatched,
          "SELECT wave, name FROM name_catalog WHERE name IN (SELECT name FROM name_catalog GROUP BY name HAVING count(*) = 1)")
-REST = """WITH n AS (SELECT wave, name FROM name_catalog WHERE name IN (SELECT name FROM name_catalog GROUP BY name HAVING count(*) = 1)),
- pairs AS (SELECT a.name AS base, b.name AS other, round(1 - CAST(levenshtein(a.name, b.name) AS DOUBLE) / greatest(length(a.name), length(b.name)), 4) AS score
+REST = """WITH RECURSIVE n AS (SELECT * FROM name_catalog WHERE name IN (SELECT name FROM name_catalog GROUP BY name HAVING count(*) = 1)),
+ pairs AS (SELECT a.name AS base, b.name AS other, a.position AS base_position, b.position AS other_position, 1 - CAST(levenshtein(a.name, b.name) AS DOUBLE) / greatest(length(a.name), length(b.name)) AS score
  FROM n a JOIN n b ON a.wave = 'A' AND b.wave = 'B')"""
 
 
@@ -176,9 +176,27 @@ register("match_fuzzy_candidates",
          lambda s, d: candidates(s, d, "levenshtein").select("base", "other", "score"),
          f"{REST} SELECT base, other, score FROM pairs WHERE score >= 0.6")
 register("match_fuzzy_sequence", lambda s, d: candidates(s, d, "sequence").select("base", "other", "score"))
+
+# The greedy order pair by pair, with the names used so far.
+GREEDY = """, ordered AS (SELECT row_number() OVER (ORDER BY score DESC, base_position, other_position) AS i, base, other, score FROM pairs WHERE score >= 0.6),
+ walk AS (SELECT CAST(0 AS BIGINT) AS i, CAST([] AS VARCHAR[]) AS used_base, CAST([] AS VARCHAR[]) AS used_other, false AS taken
+  UNION ALL SELECT o.i, CASE WHEN f.free THEN list_append(w.used_base, o.base) ELSE w.used_base END,
+   CASE WHEN f.free THEN list_append(w.used_other, o.other) ELSE w.used_other END, f.free
+  FROM walk w JOIN ordered o ON o.i = w.i + 1, LATERAL (SELECT NOT list_contains(w.used_base, o.base) AND NOT list_contains(w.used_other, o.other) AS free) f),
+ greedy AS (SELECT base, other, score FROM walk JOIN ordered USING (i) WHERE taken)"""
 register("match_assign_greedy",
-         lambda s, d: ma.assign_one_to_one(candidates(s, d, "levenshtein")).select("base", "other", "score"))
+         lambda s, d: ma.assign_one_to_one(candidates(s, d, "levenshtein")).select("base", "other", "score"),
+         f"{REST}{GREEDY} SELECT base, other, score FROM greedy")
 register("survey_correspondence", lambda s, d: ma.correspond(names(s, d, "A"), {"B": names(s, d, "B")}))
+register("survey_correspondence_levenshtein",
+         lambda s, d: ma.correspond(names(s, d, "A"), {"B": names(s, d, "B")}, "levenshtein"),
+         f"""{REST}{GREEDY}, matched AS (
+         SELECT a.name AS base, a.name AS other, 'exact' AS method, 1.0::DOUBLE AS score FROM name_catalog a JOIN name_catalog b ON a.name = b.name WHERE a.wave = 'A' AND b.wave = 'B'
+         UNION ALL SELECT base, other, 'fuzzy', round(score, 2) FROM greedy
+         UNION ALL SELECT name, NULL, 'no_match', 0 FROM n WHERE wave = 'A' AND name NOT IN (SELECT base FROM greedy)
+         UNION ALL SELECT NULL, name, 'only_here', NULL FROM n WHERE wave = 'B' AND name NOT IN (SELECT other FROM greedy))
+         SELECT base, other AS "name_B", method AS "method_B", score AS "score_B", CASE WHEN method = 'exact' THEN 'high'
+         WHEN method = 'fuzzy' THEN CASE WHEN score >= 0.85 THEN 'high' WHEN score >= 0.7 THEN 'medium' ELSE 'low' END END AS "confidence_B" FROM matched""")
 
 
 def reviewed(s, d):

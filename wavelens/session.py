@@ -29,17 +29,18 @@ def local_session(app: str = "wavelens", cores: str = "*", **conf: str) -> Spark
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
-    A machine-local folder is only made up in local mode, where the driver and
-    the executors are the same process.
+    Without that setting, the folder the session checkpoints to already. A
+    machine-local folder is only made up in local mode, where the driver and the
+    executors are the same process.
     """
-    folder = spark.conf.get(CHECKPOINT_CONF, None)
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="wavelens-")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="wavelens-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -47,6 +48,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/scratch/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once below the shared folder and read it from there.
+
+    For a small aggregated table that several branches of a query start from:
+    its source is scanned once, and losing an executor does not lose the result.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder so that later rounds start from files."""
     spark = df.sparkSession

@@ -7,8 +7,10 @@ so a registered query and its check start from the same rows.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wavelens.plans import fixed_values as v
+from wavelens.session import stored
 
 TABLES = ("region", "nation", "customer", "orders", "lineitem", "part", "events", "documents", "labels")
 
@@ -57,15 +59,15 @@ FROM (
 
 # Question names of two waves: some agree, some changed ending or word order.
 NAME_CATALOG = """
-SELECT 'A' AS wave, name FROM (
-  SELECT DISTINCT lower(replace(concat(p_name, '_', p_type), ' ', '_')) AS name FROM {part}) a
+SELECT 'A' AS wave, min(p_partkey) AS position, lower(replace(concat(p_name, '_', p_type), ' ', '_')) AS name
+FROM {part} GROUP BY 3
 UNION ALL
-SELECT 'B' AS wave, name FROM (
-  SELECT DISTINCT lower(replace(
+SELECT 'B' AS wave, min(p_partkey) AS position, lower(replace(
     CASE WHEN p_type = 'PROMO' THEN concat(p_type, '_', p_name)
          WHEN p_type IN ('SMALL', 'LARGE') THEN concat(p_name, 's_', p_type)
          WHEN p_type = 'MEDIUM' THEN concat(p_name, '_', p_type, '_', 'q')
-         ELSE concat(p_name, '_', p_type) END, ' ', '_')) AS name FROM {part}) b
+         ELSE concat(p_name, '_', p_type) END, ' ', '_')) AS name
+FROM {part} GROUP BY 3
 """
 
 _BANDS = "\n".join(f"WHEN {i} THEN '{band}'" for i, band in enumerate(v.PAY_BANDS, 1))
@@ -111,7 +113,7 @@ SELECT resp, edicao,
             WHEN o_totalprice < 300000 THEN 'de 1.001 a 3.000'
             ELSE 'Acima de 3.000' END AS numero_de_funcionarios,
        CASE WHEN c_acctbal > 9500 THEN NULL
-            WHEN edicao = '2023-2024' AND o_totalprice < 2500 THEN 'de R$ 101/mês a R$ 2.000/mês'
+            WHEN edicao = '2023-2024' AND o_totalprice < 1020 THEN 'de R$ 101/mês a R$ 2.000/mês'
             ELSE CASE least(13, 1 + CAST(floor(o_totalprice / CASE o_orderstatus WHEN 'F' THEN 60000
                    WHEN 'O' THEN 45000 ELSE 35000 END) AS INT))
                  """ + _BANDS + """ END END AS faixa_salarial,
@@ -230,11 +232,9 @@ def flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def question_names(spark: SparkSession, sf_dir: str, wave: str) -> DataFrame:
-    """``(position, name)`` of one wave's question names, positions by name."""
-    from pyspark.sql import functions as F
-
+    """``(position, name)`` of one wave's question names, stored as a small table."""
     names = view(spark, sf_dir, NAME_CATALOG).filter(F.col("wave") == wave)
-    return names.select(F.xxhash64("name").alias("position"), "name")
+    return stored(names.select("position", "name"), f"names-{wave}")
 
 
 def people(spark: SparkSession, sf_dir: str) -> DataFrame:
