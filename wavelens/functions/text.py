@@ -80,10 +80,15 @@ _ACCENTED, _UNACCENTED, _EXPANDED = _accent_tables()
 
 
 def strip_accents(text: Column) -> Column:
-    """Remove diacritics of the Latin blocks; ``translate`` drops bare marks."""
-    for char, plain in _EXPANDED.items():
-        text = F.replace(text, F.lit(char), F.lit(plain))
-    return F.translate(text, _ACCENTED, _UNACCENTED)
+    """Remove diacritics of the Latin blocks; ``translate`` drops bare marks.
+
+    Plain ASCII text skips the tables.
+    """
+    plain = text
+    for char, letters in _EXPANDED.items():
+        plain = F.replace(plain, F.lit(char), F.lit(letters))
+    plain = F.translate(plain, _ACCENTED, _UNACCENTED)
+    return F.when(text.rlike(r"[^\x00-\x7F]"), plain).otherwise(text)
 
 
 def normalize_name(text: Column) -> Column:

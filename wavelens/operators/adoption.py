@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from wavelens.functions.labels import share
 from wavelens.functions.text import lit_col
+from wavelens.operators.distribution import empty_like
 from wavelens.operators.filters import not_null
 
 
@@ -35,6 +36,8 @@ def adoption_groups(
     All groups share one scan and one exchange: every option is a sum in the
     same partial aggregate, and only the aggregated row is turned into rows.
     """
+    if not groups:
+        return empty_like(df, dims, "option string, eligible bigint, selected double, pct double, category string")
     aggregates, cells = [], []
     for g, (category, options) in enumerate(groups.items()):
         answered = F.coalesce(*[lit_col(c) for c in options]).isNotNull()
@@ -117,7 +120,9 @@ def adoption_ranking(
 
 def coverage(df: DataFrame, keys: Sequence[str], wave: str) -> DataFrame:
     """Number of waves and their sorted list for each key."""
-    return df.groupBy(*keys).agg(
-        F.countDistinct(wave).alias("n_waves"),
-        F.concat_ws(", ", F.sort_array(F.collect_set(wave))).alias("waves"),
+    seen = df.groupBy(*keys).agg(F.sort_array(F.collect_set(wave)).alias("_seen"))
+    return seen.select(
+        *keys,
+        F.size("_seen").cast("bigint").alias("n_waves"),
+        F.concat_ws(", ", "_seen").alias("waves"),
     )

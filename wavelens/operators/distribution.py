@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wavelens.functions.labels import share
 from wavelens.functions.text import lit_col
@@ -34,6 +35,8 @@ def distribution(
     pre-aggregated before they move, and the base is summed over the counts.
     """
     present = [v for v in variables if v in df.columns]
+    if not present:
+        return empty_like(df, dims, "variable string, value string, n bigint, base bigint, pct double")
     counts = (
         answers_long(df, present, dims)
         .groupBy(*dims, "variable", "value")
@@ -42,6 +45,12 @@ def distribution(
     return with_share(counts, [*dims, "variable"], scale=scale)
 
 
+def empty_like(df: DataFrame, dims: Sequence[str], columns: str) -> DataFrame:
+    """No rows, the dimensions of ``df`` and the given columns."""
+    fields = [df.schema[d] for d in dims] + list(T.StructType.fromDDL(columns))
+    return df.sparkSession.createDataFrame([], T.StructType(fields))
+
+
 def count_by(df: DataFrame, dims: Sequence[str], name: str = "n") -> DataFrame:
     return df.groupBy(*dims).agg(F.count(F.lit(1)).alias(name))
 

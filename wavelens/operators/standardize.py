@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -9,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wavelens.functions.text import lit_col, normalize_name, parse_question
-from wavelens.operators.checks import name_collisions
 from wavelens.operators.profile import binary_columns
+from wavelens.session import cut_lineage, header_table
 
 
 def parsed_catalog(catalog: DataFrame, style: str = "dotted", fixes: Mapping | None = None) -> DataFrame:
@@ -109,14 +110,13 @@ def standardize(
     columns that would get the same name are an error. Only header rows, as many
     as the table is wide, reach the driver.
     """
-    spark = df.sparkSession
-    headers = spark.createDataFrame(list(enumerate(df.columns)), "position int, name string")
-    catalog = parsed_catalog(headers, style, fixes)
-    plan = column_plan(catalog, detect_groups(df, catalog), aliases, corrections)
-    clashes = [r["target"] for r in name_collisions(plan, "target").collect()]
+    catalog = parsed_catalog(header_table(df.sparkSession, df.columns), style, fixes)
+    groups = cut_lineage(detect_groups(df, catalog))
+    plan = column_plan(catalog, groups, aliases, corrections)
+    rows = sorted(plan.collect(), key=lambda r: r["position"])
+    clashes = sorted(name for name, n in Counter(r["target"] for r in rows).items() if n > 1)
     if clashes:
-        raise ValueError(f"several columns would be called: {sorted(clashes)}")
-    rows = plan.orderBy("position").collect()
+        raise ValueError(f"several columns would be called: {clashes}")
     return df.select(
         *[F.coalesce(*[lit_col(c) for c in r["sources"]]).alias(r["target"]) for r in rows]
     )

@@ -21,7 +21,7 @@ from wavelens.registry.basics import (
     _pivot, adopted, bands_by_role, dist, evolved, role_counts, with_position,
 )
 from wavelens.registry.core import adoption_sql, dist_sql, quantile_sql, register
-from wavelens.session import scratch_path
+from wavelens.session import header_table, scratch_path
 from wavelens.sources import readers
 
 GROUPS = {"events": {c: c[4:] for c in OPTS}, "value": {c: c[4:] for c in VALS}}
@@ -89,7 +89,7 @@ def raw_wave(s, d):
 
 def headers(s, d):
     df = raw_wave(s, d)
-    return df, st.parsed_catalog(s.createDataFrame(list(enumerate(df.columns)), "position int, name string"))
+    return df, st.parsed_catalog(header_table(s, df.columns))
 
 
 def survey_standardize(s, d):

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -48,6 +50,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/scratch/{name}-{uuid.uuid4().hex}"
 
 
+def header_table(spark: SparkSession, names: Sequence[str]) -> DataFrame:
+    """``(position, name)`` of a table's headers, as a relation local to the plan."""
+    positions = pa.array(range(len(names)), pa.int32())
+    return spark.createDataFrame(
+        pa.table({"position": positions, "name": pa.array(names, pa.string())})
+    )
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once below the shared folder and read it from there.
 

@@ -41,7 +41,10 @@ def register_table(df: DataFrame, name: str, path: str, partition_by: Sequence[s
 
 
 def export_csv(df: DataFrame, path: str, sep: str = ",") -> None:
-    """One CSV file with a header, for a result that is small by construction."""
+    """One CSV file with a header and the rows in order.
+
+    For results: tables with a few rows per wave and label, which one task writes.
+    """
     (
         df.coalesce(1)
         .write.mode("overwrite")
