@@ -14,9 +14,14 @@ from wavelens.operators.distribution import empty_like
 from wavelens.operators.filters import not_null
 
 
-def flag_value(name: str) -> Column:
-    """An option's 0/1 text as a number; anything not numeric counts as not answered."""
-    return lit_col(name).try_cast("double")
+def flag_value(flag: Column) -> Column:
+    """An option's 0/1 text as a number; anything not numeric counts as not answered.
+
+    Almost every answer is ``0`` or ``1``, and comparing is far cheaper than parsing.
+    """
+    return F.when(flag == "1", F.lit(1.0)).when(flag == "0", F.lit(0.0)).otherwise(
+        flag.try_cast("double")
+    )
 
 
 def adoption_groups(
@@ -33,37 +38,38 @@ def adoption_groups(
     answered in a slice has no share instead of 0 %. Slices without eligible
     respondents are left out.
 
-    All groups share one scan and one exchange: every option is a sum in the
-    same partial aggregate, and only the aggregated row is turned into rows.
+    All groups share one scan and one exchange. A respondent's flags are turned
+    into rows group by group, after the groups not answered are dropped, and
+    counted before they move; the work grows with the number of flags, and no
+    single aggregate gets too wide to be compiled.
     """
     if not groups:
         return empty_like(df, dims, "option string, eligible bigint, selected double, pct double, category string")
-    aggregates, cells = [], []
-    for g, (category, options) in enumerate(groups.items()):
-        answered = F.coalesce(*[lit_col(c) for c in options]).isNotNull()
-        aggregates.append(F.count(F.when(answered, F.lit(1))).alias(f"e{g}"))
-        for i, (column, option) in enumerate(options.items()):
-            flag = flag_value(column)
-            if unmapped == "zero":
-                flag = F.when(answered, F.coalesce(flag, F.lit(0.0)))
-            aggregates.append(F.sum(flag).alias(f"s{g}_{i}"))
-            cells.append(
-                F.struct(
-                    F.lit(option).alias("option"),
-                    F.col(f"e{g}").alias("eligible"),
-                    F.col(f"s{g}_{i}").alias("selected"),
-                    F.lit(category).alias("category"),
-                )
-            )
-    wide = not_null(df, dims).groupBy(*dims).agg(*aggregates)
-    long = wide.select(*[lit_col(d) for d in dims], F.inline(F.array(*cells)))
-    return long.filter(F.col("eligible") > 0).select(
-        *[lit_col(d) for d in dims],
-        "option",
+    blocks = [
+        F.struct(
+            F.lit(g).alias("_group"),
+            F.array(*[lit_col(c).cast("string") for c in options]).alias("_flags"),
+        )
+        for g, options in enumerate(groups.values())
+    ]
+    keys = [lit_col(d) for d in dims]
+    asked = not_null(df, dims).select(*keys, F.inline(F.array(*blocks)))
+    asked = asked.filter(F.array_max("_flags").isNotNull())
+    marks = asked.select(*keys, "_group", F.posexplode("_flags").alias("_option", "_flag"))
+    sums = marks.groupBy(*dims, "_group", "_option").agg(
+        F.count(F.lit(1)).alias("eligible"), F.sum(flag_value(F.col("_flag"))).alias("selected")
+    )
+    if unmapped == "zero":
+        sums = sums.withColumn("selected", F.coalesce("selected", F.lit(0.0)))
+    names = F.array(*[F.array(*[F.lit(o) for o in options.values()]) for options in groups.values()])
+    categories = F.array(*[F.lit(c) for c in groups])
+    return sums.select(
+        *keys,
+        names[F.col("_group")][F.col("_option")].alias("option"),
         "eligible",
         "selected",
         share(F.col("selected"), F.col("eligible")).alias("pct"),
-        "category",
+        categories[F.col("_group")].alias("category"),
     )
 
 
