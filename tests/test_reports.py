@@ -176,3 +176,12 @@ def test_mixed_table_without_the_priority_question(spark):
     with pytest.warns(UserWarning):
         mixed = gold.ai_adoption(full)
     assert sorted(r["categoria"] for r in mixed.collect()) == [v.AI_PRIORITY_CATEGORY, "uso_pessoal_chatgpt_copilot"]
+
+
+def test_tables_have_the_stated_schemas(spark):
+    from wavelens import testviews as tv
+
+    for name, build in gold.TABLES.items():
+        source = tv.survey if "adocao" in name or "oportunidades" in name else tv.people
+        table = build(source(spark, "/root/testdata/sf0.001"))
+        assert ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in table.schema) == gold.SCHEMAS[name]

@@ -102,12 +102,18 @@ def test_profiles(spark, rows):
 
 
 def test_require_source(spark, tmp_path):
-    for name in ("gold_1", "gold_2"):
+    for name in ("gold_1", "gold_2", "empty"):
         (tmp_path / name).mkdir()
+    for name in ("gold_1", "gold_2"):
+        (tmp_path / name / "part-0.csv").write_text("a")
+        (tmp_path / name / "part-1.csv").write_text("a")
     assert readers.require_source(spark, f"{tmp_path}/gold_1*").endswith("gold_1")
-    for pattern in ("gold_*", "none_*"):
-        with pytest.raises(FileNotFoundError):
-            readers.require_source(spark, f"{tmp_path}/{pattern}")
+    with pytest.raises(ValueError, match="several folders"):
+        readers.require_source(spark, f"{tmp_path}/gold_*")
+    with pytest.raises(FileNotFoundError):
+        readers.require_source(spark, f"{tmp_path}/empty")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        readers.require_source(spark, f"{tmp_path}/none_*")
 
 
 def test_gold_csv_is_matched_by_header(spark, tmp_path, rows):

@@ -27,6 +27,19 @@ ADOPTION_NAMES = {
     "pct": "pct_adocao",
     "category": "categoria",
 }
+_COUNTS = "variavel string, valor string, contagem bigint, total_respondentes bigint, pct_na_dimensao double"
+_OPTIONS = "opcao string, elegiveis bigint, selecionaram double, pct_adocao double"
+# Schemas of the tables, to read those that exist as CSV already without inference.
+SCHEMAS = {
+    "gold_01_estrutura_mercado": f"edicao string, {_COUNTS}",
+    "gold_02_perfis_valorizados": f"edicao string, cargo_atual string, nivel string, {_COUNTS}",
+    "gold_03_diversidade_genero": f"edicao string, genero string, {_COUNTS}",
+    "gold_04_adocao_tecnologias": f"edicao string, {_OPTIONS}, categoria string",
+    "gold_05_adocao_ia": "edicao string, " + _COUNTS.replace("variavel", "variavel_original") + f", categoria string, {_OPTIONS}",
+    "gold_06_diferencas_regiao_senioridade_modelo": "edicao string, regiao_onde_mora string, nivel string, "
+    f"modelo_de_trabalho_atual string, {_COUNTS}",
+    "gold_07_oportunidades_desafios": f"edicao string, {_OPTIONS}, categoria string",
+}
 
 
 def _distribution(silver: DataFrame, variables: Sequence[str], dims: Sequence[str]) -> DataFrame:

@@ -10,9 +10,6 @@ from pyspark.sql import types as T
 
 from wavelens.functions.text import lit_col, repair_mojibake
 
-GOLD_DISTRIBUTION = "variavel string, valor string, contagem bigint, total_respondentes bigint, pct_na_dimensao double"
-GOLD_ADOPTION = "edicao string, opcao string, elegiveis bigint, selecionaram double, pct_adocao double, categoria string"
-
 
 def read_wave(spark: SparkSession, path: str) -> DataFrame:
     """A raw wave: CSV, every column text, quoted line breaks, damage repaired.
@@ -73,10 +70,16 @@ def read_dictionary(spark: SparkSession, path: str, base: str, others: list[str]
 
 
 def require_source(spark: SparkSession, pattern: str) -> str:
-    """The one path that matches ``pattern``; none or several is an error."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = [str(s.getPath()) for s in fs.globStatus(path) or []]
-    if len(found) != 1:
-        raise FileNotFoundError(f"expected one match for {pattern}, found {sorted(found)}")
+    """The one folder with files that matches ``pattern``; none or several is an error.
+
+    Lists files without reading them. Spark itself stops at a pattern that
+    matches nothing.
+    """
+    files = spark.read.format("binaryFile").load(pattern)
+    folder = F.regexp_extract("path", "^(.*)/[^/]+$", 1)
+    found = sorted(r[0] for r in files.select(folder).distinct().collect())
+    if not found:
+        raise FileNotFoundError(f"no files in {pattern}")
+    if len(found) > 1:
+        raise ValueError(f"several folders match {pattern}: {found}")
     return found[0]
