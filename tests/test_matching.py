@@ -98,6 +98,12 @@ def test_correspondence_names_every_column_once(spark):
     assert len(got) == 5
 
 
+@pytest.mark.parametrize("kind, score", [("sequence", 0.62), ("levenshtein", 0.63)])
+def test_published_score_of_a_tie(spark, kind, score):
+    row = ma.correspond(frame(spark, ["abcdexyz"]), {"w": frame(spark, ["abcdeuvw"])}, kind).first()
+    assert (row["method_w"], row["score_w"], row["confidence_w"]) == ("fuzzy", score, "low")
+
+
 def test_two_other_waves(spark):
     base = frame(spark, ["a_name", "b_name"])
     others = {"x": frame(spark, ["a_name"]), "y": frame(spark, ["qqq", "b_name"])}

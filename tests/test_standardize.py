@@ -46,6 +46,12 @@ def test_tuple_headers(spark, rows):
     assert got.columns == ["idade", "ia_nao_uso", "ia_uso"] and rows(got) == [("20", "1", "0")]
 
 
+def test_the_last_of_two_parents_with_one_code_counts(spark, rows):
+    df = spark.createDataFrame([("x", "y", "1")], ["2.l_Velho", "2.l_Novo", "2.l.1_A"])
+    got = st.standardize(df)
+    assert got.columns == ["velho", "novo_a"] and rows(got) == [("x", "1")]
+
+
 def test_all_null_candidate_is_no_option(spark):
     df = spark.createDataFrame([(None, "1")], "a string, b string").toDF("2.l_P", "2.l.1_Q")
     df = df.withColumn("2.l.2_R", lit_col("2.l_P"))

@@ -53,6 +53,18 @@ def similarity(base: Column, other: Column, kind: str) -> Column:
     return F.pandas_udf(ratio, "double")(base, other)
 
 
+def two_decimals(score: Column, kind: str) -> Column:
+    """The score as it is published: the sequence ratio by its binary value, where
+    0.625 gives 0.62 and 0.845 gives 0.84; the levenshtein ratio half up."""
+    if kind == "levenshtein":
+        return F.round(score, 2)
+
+    def binary(scores: pd.Series) -> pd.Series:
+        return scores.map(lambda x: round(x, 2)).astype("float64")
+
+    return F.pandas_udf(binary, "double")(score)
+
+
 def fuzzy_candidates(
     base: DataFrame, other: DataFrame, min_score: float = MIN_SCORE, kind: str = "sequence"
 ) -> DataFrame:
@@ -152,7 +164,7 @@ def match_names(base: DataFrame, other: DataFrame, kind: str = "sequence") -> Da
     none = F.lit(None).cast("string")
     found = exact.select("base", "other", F.lit("exact").alias("method"), F.lit(1.0).alias("score"))
     found = found.unionAll(
-        fuzzy.select("base", "other", F.lit("fuzzy"), F.round("score", 2).alias("score"))
+        fuzzy.select("base", "other", F.lit("fuzzy"), two_decimals(F.col("score"), kind))
     )
     lone = unmatched(rest_base, fuzzy, "base").select(
         F.col("name").alias("base"), none.alias("other"), F.lit("no_match"), F.lit(0.0)

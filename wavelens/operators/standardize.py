@@ -21,14 +21,14 @@ def parsed_catalog(catalog: DataFrame, style: str = "dotted", fixes: Mapping | N
 
 
 def option_candidates(catalog: DataFrame) -> DataFrame:
-    """Columns coded ``X.y.N`` whose parent ``X.y`` is a column too."""
+    """Columns coded ``X.y.N`` whose parent ``X.y`` is a column too (the last of that code)."""
     parts = F.split("code", r"\.")
     children = catalog.filter((F.size(parts) >= 3) & F.element_at(parts, -1).rlike("^[0-9]+$"))
     children = children.withColumn("root", F.regexp_replace("code", r"\.[^.]*$", ""))
-    parents = catalog.filter(F.col("code").isNotNull()).select(
-        F.col("code").alias("root"),
-        F.col("name").alias("parent"),
-        F.col("label").alias("parent_label"),
+    coded = catalog.filter(F.col("code").isNotNull())
+    parents = coded.groupBy(F.col("code").alias("root")).agg(
+        F.max_by("name", "position").alias("parent"),
+        F.max_by("label", "position").alias("parent_label"),
     )
     return children.join(parents, "root").select(
         "root", "parent", "parent_label", "position", "name", "label"
