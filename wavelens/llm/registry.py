@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wavelens.llm import bpe, exact_dedup, packing, sharding
+from wavelens.llm import bpe, embed_dedup, exact_dedup, langid, minhash, packing, pii, sharding
 from wavelens.llm.common import filled, keyed_text, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -49,6 +49,19 @@ FROM texts WINDOW g AS (PARTITION BY t)
 """
 
 
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, by a model fitted on the documents not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = langid.predict(docs.select(F.col("doc_id").alias("key"), "text"), langid.trained(docs))
+    found = found.withColumnRenamed("key", "doc_id")
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op7_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all embeddings."""
+    return embed_dedup.near_dedup(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard of every document among 256, with the bytes it brings there."""
     docs = table(spark, sf_dir, "documents").select(
@@ -57,11 +70,35 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(docs, "doc_id", SHARDS)
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document, and terms that disclose whom it is about."""
+    found = pii.scan(keyed_text(table(spark, sf_dir, "documents")))
+    base = F.filter("spans", lambda s: s["kind"].isin(list(pii.PATTERNS)))
+    counts = [
+        F.size(F.filter("spans", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}")
+        for kind in pii.PATTERNS
+    ]
+    return found.select(
+        "doc_id", *counts,
+        F.sha2(pii.written(base), 256).alias("base_sha256"),
+        pii.written("spans").alias("spans"),
+    )
+
+
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of documents by two-word shingles."""
+    return minhash.near_dedup(keyed_text(table(spark, sf_dir, "documents")), words=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op4_packing": op4_packing,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_langid": op6_langid,
+    "op7_embed_dedup": op7_embed_dedup,
     "op8_sharding": op8_sharding,
+    "op9_pii": op9_pii,
+    "op10_minhash": op10_minhash,
 }
 
 SQL: dict[str, str] = {
