@@ -109,6 +109,8 @@ def rocksdb_session(spark: SparkSession) -> SparkSession:
     session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
+    # many partitions with little state each: no space set aside for logs
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     return session
 
 

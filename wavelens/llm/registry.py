@@ -75,7 +75,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.scan(keyed_text(table(spark, sf_dir, "documents")))
     base = F.filter("spans", lambda s: s["kind"].isin(list(pii.PATTERNS)))
     counts = [
-        F.size(F.filter("spans", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}")
+        F.size(F.filter("spans", pii.of_kind(kind))).cast("long").alias(f"n_{kind}")
         for kind in pii.PATTERNS
     ]
     return found.select(
