@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wavelens.llm.common import arrow_map, slices
 
@@ -161,7 +162,7 @@ def posteriors(model: Model, texts: list[str | None]) -> tuple[list[str], np.nda
     spelled = number >= 0
     line = np.repeat(np.arange(len(lengths)), lengths)[spelled]
     lengths = np.bincount(line, minlength=len(lengths))
-    if not len(line):
+    if not len(line) or not model.languages:
         return [], np.zeros((0, len(model.languages))), np.zeros(0, np.int64)
     found = forward_backward(table[number[spelled]], lengths[lengths > 0], model.transitions)
     return [w for w, s in zip(words, spelled, strict=True) if s], found, owner[line]
@@ -265,33 +266,34 @@ def _step(model: Model, chunk: list[tuple[list[str], list[int]]], squares: list[
         value += (rate * grad / np.sqrt(square)).astype(np.float32)
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """``(key, lang_pred, score)`` for every row of ``(key, text)``, from the text alone.
+def predict(
+    docs: DataFrame, model: Model, keep: Sequence[str], text: str = "text", lang: str = "lang_pred", score: str = "score"
+) -> DataFrame:
+    """The columns ``keep`` of ``docs`` with ``lang`` and ``score``, from ``text`` alone.
 
     A text that is null or has no letter is ``und`` with score 0. Of equal sums, the
-    language that comes first by name wins.
+    language that comes first by name wins. ``keep`` must not hold the added names.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kind = docs.schema["key"].dataType.simpleString()
+    keep = list(keep)
+    rows = docs.select(*keep, F.col(text).cast("string").alias("__text"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         names = np.array([*model.languages, UNKNOWN], dtype=object)
         for batch in batches:
-            for part in slices(batch, "text"):
-                _, post, owner = posteriors(model, part.column(1).to_pylist())
+            for part in slices(batch, "__text"):
+                _, post, owner = posteriors(model, part.column(len(keep)).to_pylist())
                 n, k = part.num_rows, len(model.languages)
-                total = np.stack([np.bincount(owner, post[:, c], n) for c in range(k)], axis=1) if k else np.zeros((n, 0))
+                total = np.stack([np.bincount(owner, post[:, c], n) for c in range(k)], axis=1) if k else np.zeros((n, 1))
                 words = np.bincount(owner, minlength=n)
-                best = np.where(words > 0, total.argmax(axis=1), k) if k else np.zeros(n, np.int64)
-                score = np.where(words > 0, total.max(axis=1) / np.maximum(words, 1), 0.0) if k else np.zeros(n)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(names[best], pa.string()), pa.array(np.clip(score, 0, 1))],
-                    ["key", "lang_pred", "score"],
-                )
+                best = np.where(words > 0, total.argmax(axis=1), k)
+                share = np.where(words > 0, total.max(axis=1) / np.maximum(words, 1), 0.0)
+                added = [pa.array(names[best], pa.string()), pa.array(np.clip(share, 0, 1))]
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], *added], [*keep, lang, score])
 
-    rows = docs.select("key", F.col("text").cast("string").alias("text"))
-    return arrow_map(rows, run, f"key {kind}, lang_pred string, score double")
+    fields = T.StructType([T.StructField(c, rows.schema[c].dataType) for c in keep])
+    return arrow_map(rows, run, fields.add(lang, T.StringType()).add(score, T.DoubleType()))
 
 
 def word_labels(docs: DataFrame, model: Model) -> DataFrame:

@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wavelens.llm import bpe, embed_dedup, exact_dedup, langid, minhash, packing, pii, sharding
+from wavelens.llm import (
+    bpe,
+    embed_dedup,
+    exact_dedup,
+    langid,
+    license_scan,
+    line_dedup,
+    minhash,
+    packing,
+    pii,
+    sharding,
+)
 from wavelens.llm.common import filled, keyed_text, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -28,6 +39,45 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every paragraph of all documents that is a licence notice, and which."""
+    return license_scan.scan(keyed_text(table(spark, sf_dir, "documents")))
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which lines of every document repeat an earlier one, nearly or exactly."""
+    return line_dedup.report(keyed_text(table(spark, sf_dir, "documents")))
+
+
+OP3_SQL = r"""
+WITH texts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+lines AS (SELECT doc_id, unnest(lines) AS line_text, generate_subscripts(lines, 1) - 1 AS line FROM texts),
+sets AS (
+  SELECT doc_id, line, list_distinct(list_filter(
+    string_split_regex(line_text, '[ 	]+'), lambda w: w <> '')) AS ws FROM lines
+),
+long AS (SELECT row_number() OVER (ORDER BY doc_id, line) AS id, doc_id, line, ws, len(ws) AS n FROM sets WHERE len(ws) >= 5),
+words AS (SELECT id, n, unnest(ws) AS w FROM long),
+counts AS (SELECT w, count(*) AS c FROM words GROUP BY w),
+ranked AS (
+  SELECT id, n, w, row_number() OVER (PARTITION BY id ORDER BY c, w) AS r FROM words JOIN counts USING (w)
+),
+prefix AS (SELECT id, n, w FROM ranked WHERE r <= n - (n * 80 + 99) // 100 + 1),
+pairs AS (
+  SELECT DISTINCT x.id AS a, y.id AS b FROM prefix x JOIN prefix y ON x.w = y.w AND x.id < y.id
+  WHERE least(x.n, y.n) * 100 >= greatest(x.n, y.n) * 80
+),
+matched AS (
+  SELECT DISTINCT b AS id FROM pairs JOIN long x ON x.id = a JOIN long y ON y.id = b
+  WHERE 180 * len(list_intersect(x.ws, y.ws)) >= 80 * (x.n + y.n)
+),
+gone AS (SELECT doc_id, line FROM long JOIN matched USING (id))
+SELECT t.doc_id, len(t.lines) AS n_lines, count(g.line) AS n_removed,
+       coalesce(string_agg(CAST(g.line AS VARCHAR), ',' ORDER BY g.line), '') AS removed
+FROM texts t LEFT JOIN gone g ON g.doc_id = t.doc_id GROUP BY t.doc_id, t.lines
+"""
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces with their places in sequences of 2048 tokens."""
     docs = keyed_text(table(spark, sf_dir, "documents"))
@@ -52,8 +102,7 @@ FROM texts WINDOW g AS (PARTITION BY t)
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, by a model fitted on the documents not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    found = langid.predict(docs.select(F.col("doc_id").alias("key"), "text"), langid.trained(docs))
-    found = found.withColumnRenamed("key", "doc_id")
+    found = langid.predict(docs, langid.trained(docs), ["doc_id"])
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
@@ -92,6 +141,8 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_license_scan": op2_license_scan,
+    "op3_line_dedup": op3_line_dedup,
     "op4_packing": op4_packing,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_langid": op6_langid,
@@ -102,5 +153,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op3_line_dedup": OP3_SQL,
     "op5_exact_dedup": OP5_SQL,
 }
