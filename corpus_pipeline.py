@@ -1,19 +1,106 @@
-"""The corpus pipeline: five stages over ``documents``, each written and read again."""
+"""The corpus pipeline: five stages over ``documents``, each written and read again.
+
+Every stage takes ``(spark, docs, sf_dir)`` and works on all that the one before kept.
+All but the last return the columns of ``docs``, whatever else these hold; names that
+clash with what an operator adds do not matter, as columns go by position inside.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wavelens.llm import exact_dedup, langid, minhash, packing, pii
+from wavelens.llm.common import filled, table
+from wavelens.llm.registry import RANKS
+from wavelens.session import scratch_path, stored
+
+#: Documents whose language is less sure than this go.
+MIN_SCORE = 0.5
+
+
+def _plain(docs: DataFrame) -> tuple[DataFrame, Callable[[str], Column], list[str]]:
+    """``docs`` with columns named by position, and where a column of ``documents`` is."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*names), lambda name: F.col(names[docs.columns.index(name)]), names
+
+
+def _chosen(plain: DataFrame, key: Column, kept: DataFrame, names: list[str]) -> DataFrame:
+    """One row of ``plain`` per key of ``kept`` (``key``, ``n``: rows that have it).
+
+    Rows that repeat a key are equal in it and its text; one of them is taken by an
+    aggregate that each task begins on its own.
+    """
+    keyed = plain.withColumn("key", key)
+    once = keyed.join(kept.filter("n = 1").select("key"), "key", "left_semi").select(names)
+    if kept.filter("n > 1").isEmpty():
+        return once
+    again = keyed.join(kept.filter("n > 1").select("key"), "key", "left_semi")
+    one = again.groupBy("key").agg(F.first(F.struct(*names)).alias("row")).select("row.*")
+    return once.unionByName(one)
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told: a letter in the text, and a score to rely on."""
+    plain, of, names = _plain(docs)
+    model = langid.trained(plain.select(of("doc_id").alias("doc_id"), of("text").alias("text"), of("lang").alias("lang")))
+    text = names[docs.columns.index("text")]
+    found = langid.predict(plain, model, names, text)
+    kept = found.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_SCORE))
+    return kept.select(names).toDF(*docs.columns)
+
+
+def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest ``doc_id`` of each group of equal texts."""
+    plain, of, names = _plain(docs)
+    rows = exact_dedup.exact_dedup(plain.select(of("doc_id").alias("doc_id"), of("text").alias("text")))
+    kept = rows.groupBy(F.struct("doc_id", "text_sha256").alias("key")).agg(
+        F.bool_or("kept").alias("kept"), F.count(F.lit(1)).alias("n")
+    ).filter("kept")
+    digest = F.sha2(exact_dedup.normalised(of("text")), 256)
+    key = F.struct(of("doc_id").alias("doc_id"), digest.alias("text_sha256"))
+    return _chosen(plain, key, stored(kept, "kept"), names).toDF(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that shares five-word shingles at 0.8 or more."""
+    plain, of, names = _plain(docs)
+    digest = F.sha2(filled(of("text")), 256)
+    key = F.struct(of("doc_id").isNull().alias("unknown"), of("doc_id").alias("doc_id"), digest.alias("digest"))
+    rows = minhash.near_dedup(plain.select(key.alias("doc_id"), of("text").alias("text")))
+    kept = rows.groupBy(F.col("doc_id").alias("key")).agg(
+        F.bool_or("kept").alias("kept"), F.count(F.lit(1)).alias("n")
+    ).filter("kept")
+    return _chosen(plain, key, stored(kept, "kept"), names).toDF(*docs.columns)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data masked and what discloses it taken out."""
+    return pii.sanitise(docs)
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document's token pieces with their places in sequences of 2048."""
+    return packing.pack_documents(docs.select("doc_id", "text"), RANKS, public_tokenizers.PATTERN)
 
-from wavelens.llm.common import table
-from wavelens.session import scratch_path
 
-STAGES: list = []
+STAGES = [
+    ("language_id", language_id),
+    ("exact_dedup", exact_duplicates),
+    ("minhash_near_dedup", near_duplicates),
+    ("pii", personal_data),
+    ("best_fit_packing", sequences),
+]
 
-#: A trained model and probabilistic candidates have no SQL form; tests use brute force.
+#: A trained model and near-duplicate candidates have no SQL form; tests use brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces that the stages, one after another, make of ``documents``."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")

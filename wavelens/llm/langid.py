@@ -276,14 +276,15 @@ def predict(
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     keep = list(keep)
-    rows = docs.select(*keep, F.col(text).cast("string").alias("__text"))
+    rows = docs.select(*keep, *([] if text in keep else [F.col(text).cast("string")]))
+    at = rows.columns.index(text)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         names = np.array([*model.languages, UNKNOWN], dtype=object)
         for batch in batches:
-            for part in slices(batch, "__text"):
-                _, post, owner = posteriors(model, part.column(len(keep)).to_pylist())
+            for part in slices(batch, text):
+                _, post, owner = posteriors(model, part.column(at).to_pylist())
                 n, k = part.num_rows, len(model.languages)
                 total = np.stack([np.bincount(owner, post[:, c], n) for c in range(k)], axis=1) if k else np.zeros((n, 1))
                 words = np.bincount(owner, minlength=n)
