@@ -1,9 +1,11 @@
+import re
 import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
 
 from wavelens.functions import labels as lb
+from wavelens.operators.profile import null_dictionary, round_binary
 from wavelens.functions import text as tx
 
 
@@ -107,3 +109,47 @@ def test_share_rounds_half_up(spark):
 def test_small_base_flag(spark):
     df = spark.createDataFrame([(29,), (30,)], "n int")
     assert [r[0] for r in df.select(lb.small_base_flag(F.col("n"))).collect()] == ["Amostra pequena (<30)", "OK"]
+
+
+def test_normalised_names_in_every_script(spark):
+    texts = ["Outros… quais", "Power BI™", "a\u2009b\u2003c\u202fd", "ﬁnal", "й ά", "Ｆｕｌｌ", "한글 각", "x½²", "ö_ ß", "\U0001d4d0bc"]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(tx.normalize_name(F.col("t"))).collect()]
+    assert got == [reference_name(t) for t in texts]
+
+
+def reference_name(text):
+    plain = "".join(c for c in unicodedata.normalize("NFKD", text.replace("/", "_")) if not unicodedata.combining(c))
+    return re.sub(r"[\s_]+", "_", re.sub(r"[,?().]", "", plain.lower())).strip("_")
+
+
+def test_accents_of_every_character_of_the_basic_plane(spark):
+    chars = [chr(c) for c in range(0x80, 0x10000) if not 0xD800 <= c < 0xE000]
+    frame = spark.createDataFrame([(c,) for c in chars], "c string").repartition(8)
+    got = {r["c"]: r["p"] for r in frame.select("c", tx.strip_accents(F.col("c")).alias("p")).collect()}
+    want = {c: "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x)) for c in chars}
+    assert {c: (got[c], want[c]) for c in chars if got[c] != want[c]} == {}
+
+
+def test_damage_repair_survives_line_separators(spark):
+    texts = ["abc\u2028", "abc\u2029", "abc\n", "nÃ£o\n"]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(tx.repair_mojibake(F.col("t"))).collect()]
+    assert got == ["abc\u2028", "abc\u2029", "abc\n", "não\n"]
+
+
+def test_blanks_of_any_script_are_stripped_from_headers(spark):
+    raw = ["2.l.2_Sal\u00a0", "\u2003(\u00a0'P1_a ' ,\u2009'Idade\u3000')"]
+    frame = spark.createDataFrame([(t,) for t in raw], "t string")
+    dotted, other = (frame.select(tx.parse_question(F.col("t"), s)["label"]).collect() for s in ("dotted", "tuple"))
+    assert dotted[0][0] == "Sal" and other[1][0] == "Idade"
+
+
+def test_null_share_is_rounded_by_its_binary_value(spark):
+    frame = spark.createDataFrame([(n, d) for d in range(1, 241) for n in range(d + 1)], "n int, d int")
+    got = frame.select("n", "d", round_binary(F.col("n") / F.col("d") * 100).alias("r")).collect()
+    assert [(r["n"], r["d"], r["r"]) for r in got if r["r"] != round(r["n"] / r["d"] * 100, 1)] == []
+
+
+def test_profiles_take_dates(spark):
+    frame = spark.sql("SELECT DATE'2020-01-01' AS day, '1' AS flag")
+    got = {r["column"]: r["type"] for r in null_dictionary(frame, "w").collect()}
+    assert got == {"day": "single_choice", "flag": "binary_multiselect"}

@@ -55,7 +55,7 @@ def test_long_names_score_like_the_sequence_matcher_in_this_order(spark):
     # Beyond 200 letters the matcher ignores popular ones, so order and length matter.
     a, b = "faixa_" * 40 + "salarial_xyz", "faixa_" * 38 + "salario_xyzw_abc"
     for left, right in ((a, b), (b, a)):
-        found = ma.fuzzy_candidates(frame(spark, [left]), frame(spark, [right]), min_score=0.05).collect()
+        found = ma.fuzzy_candidates(frame(spark, [left]), frame(spark, [right]), min_score=0.05, kind="sequence").collect()
         expected = SequenceMatcher(None, left, right).ratio()
         assert [r["score"] for r in found] == ([expected] if expected >= 0.05 else [])
 
@@ -89,7 +89,7 @@ def test_no_pairs(spark):
 def test_correspondence_names_every_column_once(spark):
     base = frame(spark, ["idade", "faixa_salarial", "uso_de_ia", "so_na_base"])
     other = frame(spark, ["idade", "faixa_salariall", "usa_ia", "zzzzzz"])
-    got = {(r["base"], r["name_w"]): (r["method_w"], r["score_w"], r["confidence_w"]) for r in ma.correspond(base, {"w": other}).collect()}
+    got = {(r["base"], r["name_w"]): (r["method_w"], r["score_w"], r["confidence_w"]) for r in ma.correspond(base, {"w": other}, "sequence").collect()}
     assert got[("idade", "idade")] == ("exact", 1.0, "high")
     assert got[("faixa_salarial", "faixa_salariall")] == ("fuzzy", 0.97, "high")
     assert got[("uso_de_ia", "usa_ia")] == ("fuzzy", 0.67, "low")
@@ -134,3 +134,17 @@ def test_canonical_map(spark, rows):
     got = rows(ma.canonical_map(df, "base", ["p", "q"]))
     assert got == [("base", "a", "a"), ("base", "b", "b"), ("p", "a", "a"), ("p", "p_only", "p_only"), ("q", "q_only", "q_only")]
     assert [r[0] for r in ma.canonical_names(ma.canonical_map(df, "base", ["p", "q"])).collect()] == ["a", "b", "p_only", "q_only"]
+
+
+def test_a_joined_pair_leaves_the_join_once_and_no_letter_holds_a_task(spark):
+    rng = random.Random(3)
+    left, right = frame(spark, names_of(rng, 60)), frame(spark, names_of(rng, 60))
+    pairs = ma.fuzzy_candidates(left, right)
+    assert pairs.count() == pairs.dropDuplicates(["base", "other"]).count()
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert "letter" in plan and "salt" in plan and "Cartesian" not in plan
+
+
+def test_the_default_kind_needs_no_python(spark):
+    found = ma.correspond(frame(spark, ["abc_d"]), {"w": frame(spark, ["abc_e"])})
+    assert "Python" not in found._jdf.queryExecution().executedPlan().toString()

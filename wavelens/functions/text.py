@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import sys
 import unicodedata
 from collections.abc import Mapping
 
@@ -13,13 +15,25 @@ DOTTED_HEADER = r"^(\d+(?:\.[A-Za-z0-9]+)*)[_ ]+(.*)$"
 TUPLE_HEADER = r"^\(\s*'(.*?)'\s*,\s*'(.*?)'\s*\)$"
 
 
+# The characters that count as blank, in any script.
+BLANKS = (
+    r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
+def _unicode(pattern: str) -> str:
+    """A header pattern for the JVM: digits and blanks of all scripts, lines end at newlines."""
+    return "(?dU)" + pattern.replace(r"\s", f"[{BLANKS}]")
+
+
 def lit_col(name: str) -> Column:
     """The column called exactly ``name``, even with dots or backticks in it."""
     return F.col("`" + name.replace("`", "``") + "`")
 
 
 def strip_space(text: Column) -> Column:
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    """Without the blanks of any script at either end."""
+    return F.regexp_replace(text, rf"\A[{BLANKS}]+|[{BLANKS}]+\z", "")
 
 
 def repair_mojibake(text: Column) -> Column:
@@ -30,7 +44,7 @@ def repair_mojibake(text: Column) -> Column:
     """
     as_bytes = F.encode(text, "ISO-8859-1").cast("string")
     return F.when(
-        text.rlike(r"^[\x00-\xFF]*$"), F.coalesce(F.try_validate_utf8(as_bytes), text)
+        text.rlike(r"\A[\x00-\xFF]*\z"), F.coalesce(F.try_validate_utf8(as_bytes), text)
     ).otherwise(text)
 
 
@@ -43,15 +57,15 @@ def parse_question(raw: Column, style: str = "dotted", fixes: Mapping | None = N
     """
     if style == "dotted":
         text = strip_space(raw)
-        code = F.nullif(F.regexp_extract(text, DOTTED_HEADER, 1), F.lit(""))
+        code = F.nullif(F.regexp_extract(text, _unicode(DOTTED_HEADER), 1), F.lit(""))
         label = F.when(code.isNull(), text).otherwise(
-            strip_space(F.regexp_extract(text, DOTTED_HEADER, 2))
+            strip_space(F.regexp_extract(text, _unicode(DOTTED_HEADER), 2))
         )
     elif style == "tuple":
         text = strip_space(raw)
-        matched = text.rlike(TUPLE_HEADER)
-        code = F.when(matched, strip_space(F.regexp_extract(text, TUPLE_HEADER, 1)))
-        label = F.when(matched, strip_space(F.regexp_extract(text, TUPLE_HEADER, 2))).otherwise(raw)
+        matched = text.rlike(_unicode(TUPLE_HEADER))
+        code = F.when(matched, strip_space(F.regexp_extract(text, _unicode(TUPLE_HEADER), 1)))
+        label = F.when(matched, strip_space(F.regexp_extract(text, _unicode(TUPLE_HEADER), 2))).otherwise(raw)
         for bad, (fixed_code, fixed_label) in (fixes or {}).items():
             code = F.when(raw == bad, F.lit(fixed_code)).otherwise(code)
             label = F.when(raw == bad, F.lit(fixed_label)).otherwise(label)
@@ -67,33 +81,78 @@ def _plain(char: str) -> str:
 
 
 def _accent_tables() -> tuple[str, str, dict[str, str]]:
-    """Rule: compatibility decomposition without marks, over the Latin blocks."""
-    latin = [chr(c) for c in (*range(0xA0, 0x250), *range(0x1E00, 0x1F00))]
-    single = [(c, _plain(c)) for c in latin if _plain(c) != c and len(_plain(c)) == 1]
-    several = {c: _plain(c) for c in latin if len(_plain(c)) > 1}
-    marks = "".join(chr(c) for c in range(0x300, 0x370) if unicodedata.combining(chr(c)))
-    source = "".join(c for c, _ in single) + marks
-    return source, "".join(p for _, p in single), several
+    """Rule: compatibility decomposition without marks, over all of Unicode.
+
+    Letters that stay one letter and bare marks (dropped) make one ``translate``. Those
+    that become several are looked up; Hangul syllables among them follow by arithmetic.
+    """
+    changed = {}
+    for code in range(0xA0, sys.maxunicode + 1):
+        char = chr(code)
+        if not 0xD800 <= code < 0xE000 and (plain := _plain(char)) != char:
+            changed[char] = plain
+    single = {c: p for c, p in changed.items() if len(p) == 1}
+    several = {c: p for c, p in changed.items() if len(p) > 1 and not _is_syllable(c)}
+    marks = "".join(c for c, p in changed.items() if not p)
+    return "".join(single) + marks, "".join(single.values()), several
+
+
+def _is_syllable(char: str) -> bool:
+    return 0xAC00 <= ord(char) <= 0xD7A3
+
+
+def _char_class(chars: Mapping[str, str]) -> str:
+    """A regular expression class of these characters, as ranges."""
+    codes = sorted(map(ord, chars))
+    starts = [c for i, c in enumerate(codes) if i == 0 or codes[i - 1] != c - 1]
+    ends = [c for i, c in enumerate(codes) if i == len(codes) - 1 or codes[i + 1] != c + 1]
+    return "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in zip(starts, ends, strict=True))
 
 
 _ACCENTED, _UNACCENTED, _EXPANDED = _accent_tables()
+_SYLLABLES = r"\x{ac00}-\x{d7a3}"
+_SEVERAL = f"[{_char_class(_EXPANDED)}{_SYLLABLES}]"
+
+
+def _letter(code: Column) -> Column:
+    """The character of a code point of the basic plane."""
+    return F.decode(F.unhex(F.lpad(F.hex(code.cast("long")), 4, "0")), "UTF-16BE")
+
+
+def _syllable_letters(char: Column) -> Column:
+    """The two or three letters of a Hangul syllable."""
+    number = F.ascii(char) - 0xAC00
+    last = number % 28
+    return F.concat(
+        _letter(F.floor(number / 588) + 0x1100),
+        _letter(F.floor(number % 588 / 28) + 0x1161),
+        F.when(last > 0, _letter(last + 0x11A7)).otherwise(""),
+    )
+
+
+def _expand(text: Column) -> Column:
+    """Letters that decompose into several, one by one; only texts that hold any pay for it."""
+    table = F.from_json(F.lit(json.dumps(_EXPANDED)), "map<string,string>")
+    letters = F.transform(
+        F.split(text, ""),
+        lambda c: F.when(c.rlike(f"[{_SYLLABLES}]"), _syllable_letters(c))
+        .when(c.rlike(_SEVERAL), F.element_at(table, c))
+        .otherwise(c),
+    )
+    return F.when(text.rlike(_SEVERAL), F.array_join(letters, "")).otherwise(text)
 
 
 def strip_accents(text: Column) -> Column:
-    """Remove diacritics of the Latin blocks; ``translate`` drops bare marks.
+    """Letters without diacritics and compatibility forms, in every script.
 
     Plain ASCII text skips the tables.
     """
-    plain = text
-    for char, letters in _EXPANDED.items():
-        plain = F.replace(plain, F.lit(char), F.lit(letters))
-    plain = F.translate(plain, _ACCENTED, _UNACCENTED)
+    plain = F.translate(_expand(text), _ACCENTED, _UNACCENTED)
     return F.when(text.rlike(r"[^\x00-\x7F]"), plain).otherwise(text)
 
 
 def normalize_name(text: Column) -> Column:
     """A column name without accents, capitals, punctuation ``,?().`` or blanks."""
     text = F.lower(strip_accents(F.replace(text, F.lit("/"), F.lit("_"))))
-    text = F.regexp_replace(text, r"[,?().]", "")
-    text = F.regexp_replace(text, r"[\s\x1c-\x1f\x85_]+", "_")
+    text = F.regexp_replace(F.translate(text, ",?().", ""), rf"[{BLANKS}_]+", "_")
     return F.trim(text, F.lit("_"))

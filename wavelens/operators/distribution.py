@@ -31,8 +31,9 @@ def distribution(
 
     Respondents without an answer, or with a NULL dimension, are in neither the
     counts nor the base. Variables the table does not have are skipped.
-    One scan and two exchanges whatever the number of variables: answers are
-    pre-aggregated before they move, and the base is summed over the counts.
+    One scan whatever the number of variables: answers are pre-aggregated before
+    they move, and the base is an aggregate over the counts, joined back to them, so
+    that an open-ended question with very many labels is spread over tasks.
     """
     present = [v for v in variables if v in df.columns]
     if not present:
@@ -42,7 +43,7 @@ def distribution(
         .groupBy(*dims, "variable", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    return with_share(counts, [*dims, "variable"], scale=scale)
+    return join_base(counts, [*dims, "variable"], scale=scale)
 
 
 def empty_like(df: DataFrame, dims: Sequence[str], columns: str) -> DataFrame:
@@ -80,15 +81,16 @@ def join_base(
     base: str = "base",
     pct: str = "pct",
     scale: int = 1,
+    keep_null: bool = False,
 ) -> DataFrame:
     """As :func:`with_share`, through a join of the counts to their bases.
 
     The base is a partial aggregate over the same counts, whose exchange Spark
     reuses (the null-safe keys keep both branches equal), and the join is sized
     at run time, so a slice with very many labels is spread over tasks. NULL
-    dimensions drop out.
+    dimensions drop out unless they are to be kept.
     """
-    counts = not_null(counts, dims)
+    counts = counts if keep_null else not_null(counts, dims)
     bases = counts.groupBy(*dims).agg(F.sum(count).alias(base))
     bases = bases.select(*[lit_col(d).alias(f"_{d}") for d in dims], base)
     same = [lit_col(d).eqNullSafe(lit_col(f"_{d}")) for d in dims]
@@ -105,7 +107,7 @@ def reshare(
     df: DataFrame, dims: Sequence[str], label: str, count: str = "n", scale: int = 2, **names: str
 ) -> DataFrame:
     """Re-sum merged labels and recompute base and share from the counts."""
-    return with_share(resum(df, [*dims, label], count), dims, count, scale=scale, **names)
+    return join_base(resum(df, [*dims, label], count), dims, count, scale=scale, keep_null=True, **names)
 
 
 def sum_shares(df: DataFrame, dims: Sequence[str], pct: str = "pct", scale: int = 2) -> DataFrame:

@@ -19,6 +19,9 @@ MEDIUM_CONFIDENCE = 0.70
 # Room for the last digit of a double when a bound is compared.
 SLACK = 1e-9
 
+# Buckets that names sharing a letter are spread over.
+SALTS = 8
+
 
 def match_exact(base: DataFrame, other: DataFrame) -> DataFrame:
     """Names both sides have; both are ``(position, name)`` frames of distinct names."""
@@ -38,8 +41,9 @@ def _letters(name: Column) -> Column:
 
 
 def similarity(base: Column, other: Column, kind: str) -> Column:
-    """``sequence``: matching blocks, twice their length over both lengths, in the
-    order (base, other). ``levenshtein``: one minus edits over the longer length."""
+    """``levenshtein``: one minus edits over the longer length. ``sequence``: matching
+    blocks, twice their length over both lengths, in the order (base, other); it takes
+    Python for every pair and is no default."""
     if kind == "levenshtein":
         longer = F.greatest(F.length(base), F.length(other))
         return 1 - F.levenshtein(base, other) / longer
@@ -65,43 +69,56 @@ def two_decimals(score: Column, kind: str) -> Column:
     return F.pandas_udf(binary, "double")(score)
 
 
+def _prefixes(names: DataFrame, counts: DataFrame, side: str, need: float) -> DataFrame:
+    """Names with their letters and the rarest of them that a partner must share one of.
+
+    A partner has at least ``need`` times as many letters in common as the name is long,
+    so it cannot lack all of the rarest ``n - ceil(need * n) + 1``.
+    """
+    named = names.select(
+        F.col("position").alias(f"{side}_position"),
+        F.col("name").alias(side),
+        _letters(F.col("name")).alias(f"{side}_letters"),
+    )
+    letters = named.select(side, F.explode(f"{side}_letters").alias("letter")).join(counts, "letter")
+    ordered = letters.groupBy(side).agg(F.sort_array(F.collect_list(F.struct("n", "letter"))).alias("ordered"))
+    size = F.size("ordered")
+    rarest = F.slice("ordered", F.lit(1), size - F.ceil(size * need - SLACK).cast("int") + 1)
+    return named.join(ordered.select(side, rarest["letter"].alias(f"{side}_rarest")), side)
+
+
 def fuzzy_candidates(
-    base: DataFrame, other: DataFrame, min_score: float = MIN_SCORE, kind: str = "sequence"
+    base: DataFrame, other: DataFrame, min_score: float = MIN_SCORE, kind: str = "levenshtein"
 ) -> DataFrame:
     """All pairs of names scoring at least ``min_score``.
 
-    Neither similarity can exceed what the lengths and the shared letters of two
-    names allow, so a base name is joined, by length, to the names long and short
-    enough for it, and the shared letters are tested inside the join. A pair
-    meets once, only pairs that can still reach the score leave the join, and no
-    pair that reaches it is lost. Names are table headers: both lists are bounded
-    by the width of a table.
+    Neither similarity can exceed what the lengths and the shared letters of two names
+    allow, so names meet on the rarest letters of either that a partner cannot all lack,
+    each pair once, at the first of them. Frequent letters are spread: the base side is
+    dealt over ``SALTS`` buckets, and the other side goes to all of them. What lengths and
+    letters rule out never leaves the join, and no pair that reaches the score is lost.
+    Names are table headers: both lists are bounded by the width of a table.
     """
     if kind == "levenshtein":
-        shortest = min_score
-        possible = F.greatest("base_length", "other_length")
+        need = min_score
+        possible = F.greatest(F.size("base_letters"), F.size("other_letters"))
     else:
-        shortest = min_score / (2 - min_score)
-        possible = (F.col("base_length") + F.col("other_length")) / 2
-    n = F.col("base_length")
-    left = base.select(
-        F.col("position").alias("base_position"),
-        F.col("name").alias("base"),
-        F.length("name").alias("base_length"),
-        _letters(F.col("name")).alias("base_letters"),
+        need = min_score / (2 - min_score)
+        possible = (F.size("base_letters") + F.size("other_letters")) / 2
+    every = base.select("name").unionAll(other.select("name"))
+    counts = every.select(F.explode(_letters(F.col("name"))).alias("letter")).groupBy("letter").agg(
+        F.count(F.lit(1)).alias("n")
     )
-    lengths = F.sequence(
-        F.ceil(n * shortest - SLACK).cast("int"), F.floor(n / shortest + SLACK).cast("int")
-    )
-    left = left.withColumn("other_length", F.explode(lengths))
-    right = other.select(
-        F.col("position").alias("other_position"),
-        F.col("name").alias("other"),
-        F.length("name").alias("other_length"),
-        _letters(F.col("name")).alias("other_letters"),
+    left = _prefixes(base, counts, "base", need).withColumn("salt", F.pmod(F.hash("base"), F.lit(SALTS)))
+    left = left.withColumn("letter", F.explode("base_rarest"))
+    right = _prefixes(other, counts, "other", need).withColumn("letter", F.explode("other_rarest"))
+    right = right.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    first = F.element_at(F.array_intersect("base_rarest", "other_rarest"), 1) == F.col("letter")
+    sizes = F.least(F.size("base_letters"), F.size("other_letters")) >= (
+        F.greatest(F.size("base_letters"), F.size("other_letters")) * need - SLACK
     )
     shared = F.size(F.array_intersect("base_letters", "other_letters"))
-    pairs = left.join(right, "other_length").filter(shared >= possible * min_score - SLACK)
+    pairs = left.join(right, ["letter", "salt"]).filter(sizes & first & (shared >= possible * min_score - SLACK))
     scored = pairs.withColumn("score", similarity(F.col("base"), F.col("other"), kind))
     return scored.filter(F.col("score") >= min_score).select(
         "base_position", "base", "other_position", "other", "score"
@@ -114,7 +131,8 @@ def assign_one_to_one(pairs: DataFrame) -> DataFrame:
     A pair that is the best of both its names is what the greedy order would
     take, so every round accepts all such pairs and drops the names they use.
     The best pair of a name is an aggregate (one candidate per name and task is
-    moved), and each round starts from files in the shared folder.
+    moved). A round is written once, what it takes and what is left together, and
+    the next starts from these files in the shared folder.
     """
     columns = ["base_position", "base", "other_position", "other", "score"]
     rank = F.struct("score", -F.col("base_position"), -F.col("other_position"))
@@ -124,13 +142,14 @@ def assign_one_to_one(pairs: DataFrame) -> DataFrame:
         best_base = left.groupBy("base").agg(F.max_by("other", rank).alias("other"))
         best_other = left.groupBy("other").agg(F.max_by("base", rank).alias("base"))
         mutual = best_base.join(best_other, ["base", "other"])
-        taken = cut_lineage(left.join(mutual, ["base", "other"], "left_semi").select(*columns))
-        accepted.append(taken)
-        left = cut_lineage(
-            left.join(taken.select("base"), "base", "left_anti")
-            .join(taken.select("other"), "other", "left_anti")
-            .select(*columns)
-        )
+        by_base = mutual.select("base", F.col("other").alias("taken_other"))
+        by_other = mutual.select("other", F.col("base").alias("taken_base"))
+        told = left.join(by_base, "base", "left").join(by_other, "other", "left")
+        taken = F.coalesce(F.col("taken_other") == F.col("other"), F.lit(False))
+        open_ = F.col("taken_other").isNull() & F.col("taken_base").isNull()
+        done = cut_lineage(told.filter(taken | open_).select(*columns, taken.alias("taken")))
+        accepted.append(done.filter("taken").select(*columns))
+        left = done.filter("NOT taken").select(*columns)
     out = left
     for taken in accepted:
         out = out.unionAll(taken)
@@ -152,7 +171,7 @@ def confidence(method: Column, score: Column) -> Column:
     return F.when(method == "exact", "high").when(method == "fuzzy", fuzzy)
 
 
-def match_names(base: DataFrame, other: DataFrame, kind: str = "sequence") -> DataFrame:
+def match_names(base: DataFrame, other: DataFrame, kind: str = "levenshtein") -> DataFrame:
     """``(base, other, method, score, confidence)``: every name of either side once.
 
     Exact names first, then the greedy fuzzy assignment of the rest, then the
@@ -176,7 +195,7 @@ def match_names(base: DataFrame, other: DataFrame, kind: str = "sequence") -> Da
     return out.withColumn("confidence", confidence(F.col("method"), F.col("score")))
 
 
-def correspond(base: DataFrame, others: Mapping[str, DataFrame], kind: str = "sequence") -> DataFrame:
+def correspond(base: DataFrame, others: Mapping[str, DataFrame], kind: str = "levenshtein") -> DataFrame:
     """The correspondence dictionary: one row per base name, then the exclusive names.
 
     Columns are ``base`` and, for every other wave W, ``name_W``, ``method_W``,

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wavelens.functions.labels import share
 from wavelens.functions.text import lit_col
 
 # Fixed value: below this share of NULLs a question counts as put to nearly everyone.
@@ -36,7 +35,24 @@ def _nulls(c):
 
 
 def _binary(c):
-    return F.coalesce(F.bool_and(c.isin("0", "1")), F.lit(False))
+    return F.coalesce(F.bool_and(c.cast("string").isin("0", "1")), F.lit(False))
+
+
+def round_binary(x: Column) -> Column:
+    """A share from 0 to 100 to one decimal by its exact binary value, ties to even.
+
+    So 6.25 gives 6.2. Twenty times the share is the sum of two exact products, and what
+    their sum loses to rounding is exact too; with it, the distance from the tie between
+    two neighbours has the right sign.
+    """
+    big, small = x * 16, x * 4
+    twenty = big + small
+    back = twenty - big
+    lost = (big - (twenty - back)) + (small - back)
+    below = F.floor(twenty / 2)
+    over = (twenty - (below * 2 + 1)) + lost
+    up = (over > 0) | ((over == 0) & (below % 2 == 1))
+    return (below + F.when(up, 1).otherwise(0)) / 10
 
 
 def binary_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -51,7 +67,8 @@ def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 def null_dictionary(df: DataFrame, wave: str, cols: Sequence[str] | None = None) -> DataFrame:
     """Type of every column, its share of NULLs and what a NULL means there."""
     profile = _per_column(df, cols or df.columns, {"nulls": _nulls, "binary": _binary})
-    pct = F.when(F.col("rows") > 0, share(F.col("nulls"), F.col("rows"))).otherwise(F.lit(0.0))
+    exact = F.col("nulls") / F.col("rows") * 100
+    pct = F.when(F.col("rows") > 0, round_binary(exact)).otherwise(F.lit(0.0))
     return profile.select(
         F.lit(wave).alias("wave"),
         "column",

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wavelens.operators.matching import canonical_map, canonical_names, correspond
 from wavelens.operators.profile import null_dictionary
@@ -106,11 +107,14 @@ def build_silver(
 
 
 def read_silver(spark: SparkSession, layout: Layout, dimension: str = WAVE) -> DataFrame:
-    """The harmonised table with its partition column as the wave dimension."""
-    rows = spark.read.parquet(layout.silver)
-    return rows.withColumn(PARTITION, F.col(PARTITION).cast("string")).withColumnRenamed(
-        PARTITION, dimension
-    )
+    """The harmonised table with its partition column as the wave dimension.
+
+    The wave is read as text by a stated schema, so that ``01`` stays ``01``.
+    """
+    found = spark.read.parquet(layout.silver).schema
+    fields = [T.StructField(f.name, T.StringType() if f.name == PARTITION else f.dataType) for f in found]
+    rows = spark.read.schema(T.StructType(fields)).parquet(layout.silver)
+    return rows.withColumnRenamed(PARTITION, dimension)
 
 
 def build_gold(spark: SparkSession, layout: Layout, database: str | None = None) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,36 +42,46 @@ SCHEMAS = {
 }
 
 
-def _distribution(silver: DataFrame, variables: Sequence[str], dims: Sequence[str]) -> DataFrame:
+Only = Collection[str] | None
+
+
+def _distribution(
+    silver: DataFrame, variables: Sequence[str], dims: Sequence[str], only: Only = None
+) -> DataFrame:
+    """``only`` names the variables wanted, so that the others' columns are never read."""
     present = [d for d in dims if d in silver.columns]
-    return distribution(silver, variables, present).withColumnsRenamed(DISTRIBUTION_NAMES)
+    wanted = [x for x in variables if only is None or x in only]
+    return distribution(silver, wanted, present).withColumnsRenamed(DISTRIBUTION_NAMES)
 
 
-def _adoption(silver: DataFrame, prefixes: Mapping[str, str]) -> DataFrame:
-    groups = groups_by_prefix(silver, prefixes)
+def _adoption(silver: DataFrame, prefixes: Mapping[str, str], only: Only = None) -> DataFrame:
+    """``only`` names the categories wanted."""
+    wanted = {k: p for k, p in prefixes.items() if only is None or k in only}
+    groups = groups_by_prefix(silver, wanted)
     return adoption_groups(silver, groups, ["edicao"]).withColumnsRenamed(ADOPTION_NAMES)
 
 
-def market_structure(silver: DataFrame) -> DataFrame:
-    return _distribution(silver, v.MARKET_VARIABLES, ["edicao"])
+def market_structure(silver: DataFrame, only: Only = None) -> DataFrame:
+    return _distribution(silver, v.MARKET_VARIABLES, ["edicao"], only)
 
 
-def valued_profiles(silver: DataFrame) -> DataFrame:
-    return _distribution(silver, ["faixa_salarial"], ["edicao", "cargo_atual", "nivel"])
+def valued_profiles(silver: DataFrame, only: Only = None) -> DataFrame:
+    return _distribution(silver, ["faixa_salarial"], ["edicao", "cargo_atual", "nivel"], only)
 
 
-def gender_diversity(silver: DataFrame) -> DataFrame:
-    return _distribution(silver, v.GENDER_VARIABLES, ["edicao", "genero"])
+def gender_diversity(silver: DataFrame, only: Only = None) -> DataFrame:
+    return _distribution(silver, v.GENDER_VARIABLES, ["edicao", "genero"], only)
 
 
-def technology_adoption(silver: DataFrame) -> DataFrame:
-    return _adoption(silver, v.TECHNOLOGY_GROUPS)
+def technology_adoption(silver: DataFrame, only: Only = None) -> DataFrame:
+    return _adoption(silver, v.TECHNOLOGY_GROUPS, only)
 
 
-def ai_adoption(silver: DataFrame) -> DataFrame:
+def ai_adoption(silver: DataFrame, only: Only = None) -> DataFrame:
     """Company priority (a distribution) and use or barriers (adoption) in one table."""
-    adopted = _adoption(silver, v.AI_GROUPS)
-    if v.AI_PRIORITY_VARIABLE not in silver.columns:
+    adopted = _adoption(silver, v.AI_GROUPS, only)
+    unwanted = only is not None and v.AI_PRIORITY_CATEGORY not in only
+    if unwanted or v.AI_PRIORITY_VARIABLE not in silver.columns:
         return adopted
     priority = (
         _distribution(silver, [v.AI_PRIORITY_VARIABLE], ["edicao"])
@@ -81,13 +91,13 @@ def ai_adoption(silver: DataFrame) -> DataFrame:
     return union_all_by_name([priority, adopted])
 
 
-def region_level_model(silver: DataFrame) -> DataFrame:
+def region_level_model(silver: DataFrame, only: Only = None) -> DataFrame:
     dims = ["edicao", "regiao_onde_mora", "nivel", "modelo_de_trabalho_atual"]
-    return _distribution(silver, ["faixa_salarial"], dims)
+    return _distribution(silver, ["faixa_salarial"], dims, only)
 
 
-def opportunities_challenges(silver: DataFrame) -> DataFrame:
-    return _adoption(silver, v.CHALLENGE_GROUPS)
+def opportunities_challenges(silver: DataFrame, only: Only = None) -> DataFrame:
+    return _adoption(silver, v.CHALLENGE_GROUPS, only)
 
 
 TABLES = {

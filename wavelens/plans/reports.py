@@ -588,3 +588,26 @@ _add(
     barreiras_ia_variacao_historica=barriers_variation,
     sintese_executiva=executive_summary,
 )
+
+_NEEDS = {
+    ("cargo_atual",): [roles_now, roles_history, roles_risen, roles_fallen, roles_top3_share, women_by_role],
+    ("setor",): [sectors_top2_share],
+    ("nivel",): [experienced_share, gender_composition, women_by_level],
+    ("modelo_de_trabalho_atual",): [work_model_groups],
+    ("faixa_salarial",): [women_by_pay, pay_bands_discarded],
+    ("cor_raca_etnia", "nivel"): [
+        race_marks, race_presence, race_presence_variation, women_by_race, women_by_race_variation,
+    ],
+    ("uso_pessoal_chatgpt_copilot",): [ai_personal_use, ai_personal_use_compared],
+    (v.AI_PRIORITY_CATEGORY,): [ai_priority, ai_priority_high],
+    ("motivos_para_nao_usar_ia",): [ai_top5_barriers, barriers_history, barriers_variation],
+}
+
+
+def needs(name: str) -> tuple[str, ...] | None:
+    """Variables or categories of its table that a report looks at; None for all."""
+    query = REPORTS[name][1]
+    if isinstance(query, partial):
+        wanted = query.keywords.get("variable") or query.keywords.get("category")
+        return (wanted,) if wanted else None
+    return next((wanted for wanted, queries in _NEEDS.items() if query in queries), None)

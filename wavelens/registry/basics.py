@@ -69,18 +69,17 @@ register("scan_raw_csv", scan_raw_csv,
          "md5(text) AS digest FROM documents")
 
 register("scan_staging",
-         lambda s, d: readers.read_staging(s, f"{d}/orders.parquet").select("o_orderkey", "o_orderstatus"),
-         "SELECT o_orderkey, o_orderstatus FROM orders")
+         lambda s, d: readers.read_staging(s, f"{d}/orders.parquet"), "SELECT * FROM orders")
 
 
 def scan_gold_typed(s, d):
     path = scratch_path(s, "gold")
     writers.export_csv(dist(s, d), path)
     schema = "edition string, variable string, value string, n bigint, base bigint, pct double"
-    return readers.read_gold(s, path, schema).filter(F.col("variable") == "role")
+    return readers.read_gold(s, path, schema)
 
 
-register("scan_gold_typed", scan_gold_typed, f"SELECT * FROM ({DIST}) g WHERE variable = 'role'")
+register("scan_gold_typed", scan_gold_typed, DIST)
 
 
 def _partitioned(s, d, storage):
@@ -155,19 +154,22 @@ register("sink_roundtrip", sink_roundtrip,
 
 
 def sink_partition_overwrite(s, d):
+    """All waves; then one again with fewer rows, and one with none."""
     path = scratch_path(s, "silver")
     rows = R(s, d)
-    for wave in ("1995", "1996", "1997"):
+    waves = [r[0] for r in rows.select("edition").distinct().collect()]
+    for wave in waves:
         writers.write_wave(rows.filter(F.col("edition") == wave).drop("edition"), path, wave)
-    again = rows.filter((F.col("edition") == "1996") & (F.col("level") == "F")).drop("edition")
-    writers.write_wave(again, path, "1996")
+    fewer = rows.filter((F.col("edition") == "1996") & (F.col("level") == "F")).drop("edition")
+    writers.write_wave(fewer, path, "1996")
+    writers.write_wave(rows.filter("false").drop("edition"), path, "1997")
     out = s.read.parquet(path)
     return di.count_by(out.withColumn("edition", F.col("edition").cast("string")), ["edition"])
 
 
 register("sink_partition_overwrite", sink_partition_overwrite, """
 SELECT edition, count(*) AS n FROM responses
-WHERE edition IN ('1995', '1997') OR (edition = '1996' AND level = 'F') GROUP BY edition""")
+WHERE edition NOT IN ('1996', '1997') OR (edition = '1996' AND level = 'F') GROUP BY edition""")
 
 
 def sink_register_table(s, d):
@@ -192,6 +194,42 @@ def sink_export_csv(s, d):
 
 register("sink_export_csv", sink_export_csv, ADOPT)
 
+
+def sink_export_file(s, d):
+    """One file under the asked name, with a byte-order mark in front of the header."""
+    path = f"{scratch_path(s, 'export')}/adopted.csv"
+    writers.export_file(adopted(s, d), path)
+    schema = "edition string, option string, eligible bigint, selected double, pct double"
+    return s.read.schema(schema).option("header", True).option("sep", ";").csv(path)
+
+
+register("sink_export_file", sink_export_file, ADOPT)
+
+
+def sink_dictionary(s, d):
+    """The null dictionary of all responses, written and read again."""
+    path = scratch_path(s, "null-dictionary")
+    writers.export_csv(pr.null_dictionary(R(s, d), "responses").orderBy("column"), path)
+    return s.read.option("header", True).csv(path).select("wave", "column", "type", "null_meaning")
+
+
+register("sink_dictionary", sink_dictionary, " UNION ALL ".join(
+    f"""SELECT 'responses' AS wave, '{c}' AS "column", CASE WHEN bool_and(CAST({c} AS VARCHAR) IN ('0', '1')) THEN 'binary_multiselect'
+    ELSE 'single_choice' END AS type, CASE WHEN bool_and(CAST({c} AS VARCHAR) IN ('0', '1')) THEN 'group_not_shown'
+    WHEN (count(*) - count({c})) * 100.0 / count(*) < 9.95 THEN 'near_universal' ELSE 'conditional_on_profile' END AS null_meaning FROM responses"""
+    for c in ("resp_id", "edition", "role", "level", "segment", "region", "work_model", "pay_band")))
+
+
+def scan_required_source(s, d):
+    """The one folder that matches a pattern, found and read."""
+    path = scratch_path(s, "source")
+    writers.export_csv(dist(s, d), f"{path}/only-one")
+    found = readers.require_source(s, f"{path}/only-*/*.csv")
+    return readers.read_gold(s, found, "edition string, variable string, value string, n bigint, base bigint, pct double")
+
+
+register("scan_required_source", scan_required_source, DIST)
+
 # --- projections and cleaning ---------------------------------------------------------
 
 register("proj_literal_names",
@@ -273,9 +311,10 @@ register("harmonize_conform",
          "SELECT pay_band AS faixa, level AS nivel, role AS papel, CAST(NULL AS VARCHAR) AS ausente, "
          "CAST(NULL AS VARCHAR) AS nova FROM responses")
 register("proj_row_id",
-         lambda s, d: st.with_row_id(R(s, d)).agg(
-             F.count(F.lit(1)).alias("rows"), F.countDistinct("source_row").alias("ids")),
-         "SELECT count(*) AS rows, count(DISTINCT resp_id) AS ids FROM responses")
+         lambda s, d: st.with_row_id(R(s, d)).groupBy("edition", "role", "level").agg(
+             F.count(F.lit(1)).alias("rows"), F.countDistinct("source_row").alias("ids"), F.sum("resp_id").alias("total")),
+         "SELECT edition, role, level, count(*) AS rows, count(DISTINCT resp_id) AS ids, CAST(sum(resp_id) AS BIGINT) AS total "
+         "FROM responses GROUP BY edition, role, level")
 register("proj_tag_literal",
          lambda s, d: adopted(s, d).withColumn("category", F.lit("options")),
          f"SELECT *, 'options' AS category FROM ({ADOPT}) a")

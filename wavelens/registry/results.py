@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from wavelens import testviews as tv
 from wavelens.plans import fixed_values as v
 from wavelens.plans import gold
-from wavelens.plans.reports import REPORTS
+from wavelens.plans.reports import REPORTS, needs
 from wavelens.registry.core import adoption_sql, dist_sql, quantile_sql, register
 from wavelens.session import stored
 
@@ -276,14 +276,27 @@ def _source(s, d, table: str):
 def _with_gold(table: str, sql: str) -> str:
     body = sql.strip()
     own = f", {body[5:]}" if body.startswith("WITH ") else f" {body}"
-    return f"WITH g AS ({GOLD_SQL[table]}){own}"
+    return f"WITH g AS MATERIALIZED ({GOLD_SQL[table]}){own}"
 
 
 for _table, _build in gold.TABLES.items():
     register(_table, lambda s, d, t=_table, b=_build: b(_source(s, d, t)), GOLD_SQL[_table])
-for _name, (_table, _report) in REPORTS.items():
-    register(
-        f"result_{_name}",
-        lambda s, d, t=_table, r=_report: r(stored(gold.TABLES[t](_source(s, d, t)), t)),
-        _with_gold(_table, SQL[_name]),
-    )
+
+
+def _result(name: str):
+    """A report over just the part of its table that it needs.
+
+    Reports over a whole table start from it more than once; it is written first.
+    """
+    table, report = REPORTS[name]
+    only = needs(name)
+
+    def run(s, d):
+        built = gold.TABLES[table](_source(s, d, table), only)
+        return report(built if only else stored(built, table))
+
+    return run
+
+
+for _name, (_table, _) in REPORTS.items():
+    register(f"result_{_name}", _result(_name), _with_gold(_table, SQL[_name]))
