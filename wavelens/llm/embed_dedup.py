@@ -45,7 +45,7 @@ def hash_vectors(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Own buckets ``[n, tables]`` and further buckets ``[n, tables, probes]`` of unit rows."""
     n, dim = x.shape
-    size = 1 << max(1, (dim - 1).bit_length())
+    size = 1 << max(probes.bit_length() + 1, (dim - 1).bit_length())  # room for all probes
     padded = np.zeros((n, size))
     padded[:, :dim] = x
     own = np.empty((n, tables), np.int64)
