@@ -45,9 +45,28 @@ def read_columns(df):
 def test_distribution_is_one_scan_and_two_exchanges(answers, n):
     got = di.distribution(answers, [f"q{i}" for i in range(n)], ["wave"])
     assert shape(got) == (1, 2)
+    assert "Window" not in final_plan(got)
     assert read_columns(got) == {"wave", *[f"q{i}" for i in range(n)]}
 
 
+def test_an_open_question_has_no_window_over_its_labels(spark, tmp_path):
+    spark.range(3000).select(F.lit("w").alias("wave"), F.col("id").cast("string").alias("open")).write.parquet(str(tmp_path / "t"))
+    got = di.distribution(spark.read.parquet(str(tmp_path / "t")), ["open"], ["wave"])
+    assert "Window" not in final_plan(got) and shape(got) == (1, 2)
+
+
+def test_results_read_only_what_they_show(spark):
+    from wavelens.plans import gold
+    from wavelens.plans.reports import REPORTS, needs
+
+    for name, wanted, other in (("nivel_atual", "nivel", "setor"), ("cloud_historico", "cloud_dia_a_dia_", "banco_de_dados_dia_a_dia_")):
+        table, report = REPORTS[name]
+        columns = ["edicao", "nivel", "setor", "cargo_atual", "cloud_dia_a_dia_x", "banco_de_dados_dia_a_dia_y"]
+        silver = spark.createDataFrame([tuple("1" for _ in columns)] * 2, ", ".join(f"{c} string" for c in columns))
+        plan = report(gold.TABLES[table](silver, needs(name)))._jdf.queryExecution().optimizedPlan().toString()
+        assert wanted in plan and other not in plan.split("LogicalRDD")[0].split("LocalRelation")[0]
+
+
 @pytest.mark.parametrize("n", [2, 40])
 def test_adoption_is_one_scan_and_one_exchange(answers, n):
     got = ad.adoption(answers, [f"opt_{i}" for i in range(n)], ["wave"], "opt_")

@@ -14,13 +14,15 @@ from wavelens.operators.filters import not_null
 
 
 def answers_long(df: DataFrame, variables: Sequence[str], dims: Sequence[str]) -> DataFrame:
-    """``(dims…, variable, value)``, one row per given answer, from a single scan."""
-    typed = not_null(df, dims).select(
-        *[lit_col(d) for d in dims], *[lit_col(v).cast("string").alias(v) for v in variables]
-    )
-    long = typed.unpivot(
-        [lit_col(d) for d in dims], [lit_col(v) for v in variables], "variable", "value"
-    )
+    """``(dims…, variable, value)``, one row per given answer, from a single scan.
+
+    Answers become rows by a generator rather than ``unpivot``: dimensions pass through
+    it as they are, so that two uses of the same counts plan alike and share an exchange.
+    """
+    answers = [
+        F.struct(F.lit(v).alias("variable"), lit_col(v).cast("string").alias("value")) for v in variables
+    ]
+    long = not_null(df, dims).select(*[lit_col(d) for d in dims], F.inline(F.array(*answers)))
     return long.filter(F.col("value").isNotNull())
 
 
@@ -43,7 +45,7 @@ def distribution(
         .groupBy(*dims, "variable", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    return join_base(counts, [*dims, "variable"], scale=scale)
+    return join_base(counts, [*dims, "variable"], scale=scale, keep_null=True)  # none are left
 
 
 def empty_like(df: DataFrame, dims: Sequence[str], columns: str) -> DataFrame:

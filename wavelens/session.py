@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -33,7 +35,7 @@ def shared_dir(spark: SparkSession) -> str:
 
     Without that setting, the folder the session checkpoints to already. A
     machine-local folder is only made up in local mode, where the driver and the
-    executors are the same process.
+    executors are the same process, and goes when that process ends.
     """
     context = spark.sparkContext
     folder = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
@@ -41,7 +43,9 @@ def shared_dir(spark: SparkSession) -> str:
         return folder
     if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="wavelens-"))
+    folder = tempfile.mkdtemp(prefix="wavelens-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
 
