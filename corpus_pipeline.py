@@ -18,10 +18,6 @@ from wavelens.llm.common import filled, table
 from wavelens.llm.registry import RANKS
 from wavelens.session import scratch_path, stored
 
-#: Documents whose language is less sure than this go.
-MIN_SCORE = 0.5
-
-
 def _plain(docs: DataFrame) -> tuple[DataFrame, Callable[[str], Column], list[str]]:
     """``docs`` with columns named by position, and where a column of ``documents`` is."""
     names = [f"c{i}" for i in range(len(docs.columns))]
@@ -44,12 +40,12 @@ def _chosen(plain: DataFrame, key: Column, kept: DataFrame, names: list[str]) ->
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told: a letter in the text, and a score to rely on."""
+    """Documents that have a language. Code-switched ones stay, however their words divide."""
     plain, of, names = _plain(docs)
     model = langid.trained(plain.select(of("doc_id").alias("doc_id"), of("text").alias("text"), of("lang").alias("lang")))
     text = names[docs.columns.index("text")]
     found = langid.predict(plain, model, names, text)
-    kept = found.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_SCORE))
+    kept = found.filter(F.col("lang_pred") != langid.UNKNOWN)
     return kept.select(names).toDF(*docs.columns)
 
 
