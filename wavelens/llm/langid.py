@@ -36,7 +36,7 @@ FEATURES = 1 << 16
 NGRAMS = (1, 2, 3, 4)
 EPOCHS = 5
 #: Words a worker remembers the evidence of.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -175,10 +175,13 @@ def training_runs(docs: DataFrame, documents: int = FIT_DOCUMENTS) -> list[tuple
     hash of their key; per document, runs are spread evenly over the whole text. The
     sample does not grow with the corpus.
     """
-    counts = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    rate = counts.select("lang", (F.lit(2.0 * documents) / F.col("n")).alias("rate"))
+    counts = {r["lang"]: r["n"] for r in docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not counts:
+        return []
     order = F.xxhash64(F.col("key").cast("string"))
-    drawn = docs.join(rate, "lang").filter(F.pmod(order, F.lit(1 << 20)) < F.col("rate") * (1 << 20))
+    # a few numbers per language decide in the scan which texts move at all
+    limits = F.create_map(*[F.lit(x) for c, n in counts.items() for x in (c, min(1 << 20, (2 * documents << 20) // n))])
+    drawn = docs.filter(F.pmod(order, F.lit(1 << 20)) < F.element_at(limits, F.col("lang")))
     rank = F.row_number().over(W.partitionBy("lang").orderBy(order, "key"))
     rows = drawn.withColumn("rank", rank).filter(F.col("rank") <= documents)
 
