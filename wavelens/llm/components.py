@@ -2,35 +2,77 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wavelens.llm.common import arrow_map
 from wavelens.session import stored
 
 
-def components(edges: DataFrame, first: str = "a", second: str = "b") -> DataFrame:
+#: Edges that one task may hold at once.
+LOCAL_EDGES = 1 << 20
+
+
+def components(edges: DataFrame, first: str = "a", second: str = "b", local: int = LOCAL_EDGES) -> DataFrame:
     """``(node, component)`` for every node of an edge; the component is its smallest node.
 
-    Every round points the larger neighbours of a node at the smallest one, then the
-    smaller ones, until all edges are stars around the smallest node. Each half is an
-    aggregate and a join on the same key; every round is written to the shared folder,
-    so a lost executor costs one round at most, and only two numbers reach the driver.
+    Tasks first contract what they read, ``local`` edges at a time, to stars around the
+    smallest node they know. Then every round points the larger neighbours of a node at
+    the smallest one, then the smaller ones, until all edges are stars around the
+    smallest node of all. Each half is an aggregate and a join on the same key; every
+    round is written to the shared folder, so a lost executor costs one round at most.
+    As soon as no more than ``local`` edges are left, one task does the rest.
     """
     pairs = edges.select(F.col(first).alias("u"), F.col(second).alias("v")).filter("u <> v")
-    pairs = stored(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    before = _fingerprint(pairs)
-    while before[0]:
-        pairs = stored(_small_star(_large_star(pairs)), "edges")
+    pairs = stored(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), "edges")
+    before = None
+    while True:
         after = _fingerprint(pairs)
+        if after[0] <= local:
+            return _contracted(pairs.coalesce(1), local, roots=True).toDF("node", "component")
         if after == before:
             break
         before = after
+        pairs = stored(_small_star(_large_star(_contracted(pairs, local))), "edges")
     star = pairs.groupBy("u").agg(F.min("v").alias("v"))
     roots = pairs.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return star.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
+def _contracted(pairs: DataFrame, local: int, roots: bool = False) -> DataFrame:
+    """Edges as stars around the smallest node that the task sees together with them.
+
+    With ``roots``, the smallest nodes point at themselves.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) > local:
+                yield _star(held, roots)
+                held = []
+        if held:
+            yield _star(held, roots)
+
+    return arrow_map(pairs, run, "u long, v long")
+
+
+def _star(batches: list[pa.RecordBatch], roots: bool) -> pa.RecordBatch:
+    u, v = (np.concatenate([np.asarray(b.column(i)) for b in batches]) for i in range(2))
+    nodes, index = np.unique(np.concatenate([u, v]), return_inverse=True)
+    forest = Forest(len(nodes))
+    for i, j in zip(index[: len(u)].tolist(), index[len(u) :].tolist(), strict=True):
+        forest.join(i, j)
+    found = nodes[forest.labels()] if len(nodes) else nodes
+    keep = slice(None) if roots else found != nodes
+    return pa.RecordBatch.from_arrays([pa.array(nodes[keep], pa.int64()), pa.array(found[keep], pa.int64())], ["u", "v"])
+
+
 def _fingerprint(pairs: DataFrame) -> tuple:
     row = pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).collect()[0]
     return tuple(row)
