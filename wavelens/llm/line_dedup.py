@@ -4,8 +4,10 @@ A line is the set of its words. All sets are sorted by one global order, rare wo
 first, so that two sets of Jaccard similarity ``t`` must share one of the first
 ``n - ceil(t n) + 1`` words of each (prefix filter). A shared word only makes a pair if
 the sizes are within a factor ``t`` of each other (length filter) and the words left
-after it could still make up the overlap (positional filter). What remains is verified
-on the whole sets, and a line goes if any earlier line matches it.
+after it could still make up the overlap (positional filter). A set's words also switch
+bits of a 64-bit mask; as every bit in which two masks differ is a word that only one
+set has, masks too far apart rule a pair out as well. What remains is verified on the
+whole sets, and a line goes if any earlier line matches it.
 
 Words are their 63-bit hashes. The order goes by how often words of the same slot (the
 top bits of the hash) occur in the corpus: the slots' ranks are one array of fixed size,
@@ -87,40 +89,54 @@ def prefix_size(n: Column, percent: int) -> Column:
     return n - F.floor((n * percent + 99) / 100).cast("int") + 1
 
 
+def _mask(tokens: Column) -> Column:
+    """64 bits, each switched by every word whose hash picks it."""
+    return F.aggregate(
+        tokens, F.lit(0).cast("long"),
+        lambda bits, t: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), (t % 64).cast("int"))),
+    )
+
+
 def line_classes(lines: DataFrame, percent: int) -> DataFrame:
-    """One row per distinct set ``(a, b)``: its first place, its size and its prefix.
+    """One row per distinct set ``(a, b)``: its first place, size, prefix and mask.
 
     Partial aggregation leaves one row per task of a line that many documents share.
     """
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "h", "line")).alias("first")
     n = F.size("tokens")
-    rows = lines.select(*_key(), "doc_id", "h", "line", n.alias("n"), F.slice("tokens", F.lit(1), prefix_size(n, percent)).alias("prefix"))
-    return rows.groupBy("a", "b").agg(
-        first, F.count(F.lit(1)).alias("copies"), F.any_value("n").alias("n"), F.any_value("prefix").alias("prefix")
+    facts = F.struct(
+        n.alias("n"), _mask(F.col("tokens")).alias("mask"),
+        F.slice("tokens", F.lit(1), prefix_size(n, percent)).alias("prefix"),
+    )
+    rows = lines.select(*_key(), "doc_id", "h", "line", facts.alias("facts"))
+    return rows.groupBy("a", "b").agg(first, F.count(F.lit(1)).alias("copies"), F.any_value("facts").alias("facts")).select(
+        "a", "b", "first", "copies", "facts.*"
     )
 
 
 def candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``(a1, b1, a2, b2)`` that pass the prefix, length and positional filters."""
-    entries = classes.select("a", "b", "n", F.posexplode("prefix").alias("pos", "token"))
-    left = entries.select("token", *(F.col(c).alias(f"{c}1") for c in ("a", "b", "n", "pos")))
-    right = entries.select("token", *(F.col(c).alias(f"{c}2") for c in ("a", "b", "n", "pos")))
-    ordered = (F.col("n1") < F.col("n2")) | ((F.col("n1") == F.col("n2")) & (
-        (F.col("a1") < F.col("a2")) | ((F.col("a1") == F.col("a2")) & (F.col("b1") < F.col("b2")))
-    ))
+    """Pairs ``(id1, id2)`` that pass the prefix, length, positional and mask filters."""
+    place = F.posexplode("prefix").alias("pos", "token")
+    entries = classes.select("id", "n", "mask", place)
+    left, right = (
+        entries.select("token", *(F.col(c).alias(f"{c}{i}") for c in ("id", "n", "mask", "pos"))) for i in (1, 2)
+    )
+    ordered = (F.col("n1") < F.col("n2")) | ((F.col("n1") == F.col("n2")) & (F.col("id1") < F.col("id2")))
+    both = F.col("n1") + F.col("n2")
     length = F.col("n1") * 100 >= F.col("n2") * percent
     reach = F.least(F.col("n1") - F.col("pos1"), F.col("n2") - F.col("pos2"))  # this word and all after it
-    position = reach * (100 + percent) >= (F.col("n1") + F.col("n2")) * percent
-    return left.join(right, "token").filter(ordered & length & position).select("a1", "b1", "a2", "b2").distinct()
+    apart = F.bit_count(F.col("mask1").bitwiseXOR(F.col("mask2")))
+    most = F.least(2 * reach, both - apart)  # twice the largest overlap still possible
+    found = left.join(right, "token").filter(ordered & length & (most * (100 + percent) >= 2 * both * percent))
+    return found.select("id1", "id2").distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose whole sets have the similarity."""
-    one = sets.select(F.col("a").alias("a1"), F.col("b").alias("b1"), F.col("tokens").alias("t1"))
-    two = sets.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("tokens").alias("t2"))
-    both = pairs.join(one, ["a1", "b1"]).join(two, ["a2", "b2"])
-    common = F.size(F.array_intersect("t1", "t2"))
-    return both.filter(common * (100 + percent) >= (F.size("t1") + F.size("t2")) * percent).select("a1", "b1", "a2", "b2")
+    """The pairs whose whole sets have the similarity, with the places of both."""
+    one, two = (sets.select(*(F.col(c).alias(f"{c}{i}") for c in ("id", "first", "tokens"))) for i in (1, 2))
+    both = pairs.join(one, "id1").join(two, "id2")
+    common = F.size(F.array_intersect("tokens1", "tokens2"))
+    return both.filter(common * (100 + percent) >= (F.size("tokens1") + F.size("tokens2")) * percent)
 
 
 def holding(docs: DataFrame, named: DataFrame) -> DataFrame:
@@ -150,23 +166,18 @@ def removals(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS
     docs = docs.select("doc_id", "text")
     ranks = slot_ranks(docs)
     lines = line_sets(docs, ranks, min_words)
-    classes = stored(line_classes(lines, percent), "line-classes")
+    classes = line_classes(lines, percent).withColumn("id", F.monotonically_increasing_id())
+    classes = stored(classes, "line-classes")
     pairs = stored(candidates(classes, percent), "line-pairs")
-    ends = pairs.select(F.col("a1").alias("a"), F.col("b1").alias("b")).unionByName(
-        pairs.select(F.col("a2").alias("a"), F.col("b2").alias("b"))).distinct()
-    ends = stored(classes.join(ends, ["a", "b"], "left_semi").select("a", "b", "first"), "line-ends")
+    ids = pairs.select(F.col("id1").alias("id")).unionByName(pairs.select(F.col("id2").alias("id"))).distinct()
+    ends = stored(classes.select("id", "a", "b", "first").join(ids, "id", "left_semi"), "line-ends")
     near = holding(docs, ends.select("first.doc_id"))
-    sets = line_sets(near, ranks, min_words).select(*_key(), "tokens").join(ends.select("a", "b"), ["a", "b"], "left_semi")
-    sets = stored(sets.groupBy("a", "b").agg(F.any_value("tokens").alias("tokens")), "line-sets")
+    sets = line_sets(near, ranks, min_words).select(*_key(), "tokens").join(ends, ["a", "b"])
+    sets = stored(sets.groupBy("id").agg(F.any_value("first").alias("first"), F.any_value("tokens").alias("tokens")), "line-sets")
     links = verified(pairs, sets, percent)
-    places = ends.select("a", "b", "first")
-    placed = links.join(places.toDF("a1", "b1", "f1"), ["a1", "b1"]).join(places.toDF("a2", "b2", "f2"), ["a2", "b2"])
-    gone = placed.select(
-        F.when(F.col("f1") < F.col("f2"), F.col("a2")).otherwise(F.col("a1")).alias("a"),
-        F.when(F.col("f1") < F.col("f2"), F.col("b2")).otherwise(F.col("b1")).alias("b"),
-    ).distinct()
+    gone = links.select(F.when(F.col("first1") < F.col("first2"), F.col("id2")).otherwise(F.col("id1")).alias("id")).distinct()
     gone = stored(gone, "line-gone")
-    marked = classes.join(gone.withColumn("gone", F.lit(True)), ["a", "b"], "left")
+    marked = classes.select("id", "a", "b", "first", "copies").join(gone.withColumn("gone", F.lit(True)), "id", "left")
     affected = stored(marked.filter("copies > 1 OR gone").select("a", "b", "first", "gone"), "line-affected")
     keyed = lines.select("doc_id", "h", "line", *_key())
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "h", "line")
