@@ -120,7 +120,8 @@ def ngrams(paragraph: Column) -> Column:
 def paragraphs(docs: DataFrame) -> DataFrame:
     """``(doc_id, paragraph, grams)`` of every paragraph with a word; null text has none."""
     lines = docs.select("doc_id", F.posexplode(F.split(filled(), "\n")).alias("paragraph", "line"))
-    return lines.select("doc_id", "paragraph", ngrams(F.col("line")).alias("grams")).filter(F.size("grams") > 0)
+    worded = lines.filter(F.col("line").rlike(r"[\p{L}\p{N}]"))  # a filter on the n-grams would make them twice
+    return worded.select("doc_id", "paragraph", ngrams(F.col("line")).alias("grams"))
 
 
 def template_table(spark: SparkSession) -> DataFrame:
