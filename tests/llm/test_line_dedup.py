@@ -40,6 +40,22 @@ def test_edges(spark):
     assert {r["doc_id"]: r["n_lines"] for r in got.collect()}[4] == 2
 
 
+def test_short_and_unspaced_lines_go_too(spark):
+    texts = [
+        "All rights reserved.\nha ha ha ha ha ha\n今日は天気がいいです\n\n",
+        "reserved. rights All\nha\n今日は天気がいいです\n \n\na b c d\nred green blue",
+        "e a b c d\nred green\nred green blue grey\nx",
+    ]
+    got = found(ld.report(spark.createDataFrame(list(enumerate(texts)), DOC)))
+    assert got == Counter([(1, 0), (1, 1), (1, 2), (2, 0)])  # four words of five are 0.8, three of four are not
+
+
+def test_query_against_sql_without_its_least_number_of_words(spark):
+    cut = "WHERE len(ws) >= 5"
+    whole = SQL["op3_line_dedup"].replace(cut, "WHERE len(ws) >= 1")
+    assert compare(op3_line_dedup(spark, SF), connect(SF), whole) is None
+
+
 def test_texts_without_the_lines(spark):
     line = "one two three four five six"
     rows = [(1, f"{line}\nkeep"), (2, f"first\n{line}\nlast"), (3, None)]

@@ -25,8 +25,8 @@ from wavelens.llm.common import filled
 from wavelens.session import stored
 
 PERCENT = 80
-#: Lines of fewer words are too common to mean anything and always stay.
-MIN_WORDS = 5
+#: Lines without a word always stay.
+MIN_WORDS = 1
 SLOT_BITS = 13
 _LOW_BITS = 63 - SLOT_BITS
 #: Slots of the filter that finds the documents of candidate lines again.
@@ -115,9 +115,14 @@ def line_classes(lines: DataFrame, percent: int) -> DataFrame:
 
 
 def candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``(id1, id2)`` that pass the prefix, length, positional and mask filters."""
+    """Pairs ``(id1, id2)`` that pass the prefix, length, positional and mask filters.
+
+    Sets so small that one more word already makes them too different only match equal
+    sets, which are of the same class, so they need no join.
+    """
     place = F.posexplode("prefix").alias("pos", "token")
-    entries = classes.select("id", "n", "mask", place)
+    able = classes.filter(F.col("n") * 100 >= (F.col("n") + 1) * percent)
+    entries = able.select("id", "n", "mask", place)
     left, right = (
         entries.select("token", *(F.col(c).alias(f"{c}{i}") for c in ("id", "n", "mask", "pos"))) for i in (1, 2)
     )
