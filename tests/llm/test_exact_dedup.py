@@ -75,3 +75,24 @@ def test_different_bytes_under_one_digest_are_found(spark):
     docs = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], DOC)
     state = ed.digests(docs).groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"))
     assert ed.collisions(docs, state).count() == 0
+
+
+def two_runs(spark, *runs):
+    checkpoint = scratch_path(spark, "kept-state")
+    return [
+        sorted((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in ed.exact_dedup(
+            spark.createDataFrame(rows, DOC).coalesce(1), checkpoint).collect())
+        for rows in runs
+    ]
+
+
+def test_one_checkpoint_twice(spark):
+    first, second = two_runs(spark, [(1, "x"), (5, "y")], [(2, "x"), (3, "y"), (7, "z")])
+    assert first == [(1, 1, 1, True), (5, 5, 1, True)]
+    assert second == [(2, 1, 2, False), (3, 3, 2, True), (7, 7, 1, True)]
+
+
+def test_bytes_of_earlier_runs_decide(spark, monkeypatch):
+    monkeypatch.setattr(ed, "_digest", lambda: F.unhex(F.sha2(F.substring(ed.normalised(), 1, 1), 256)))
+    _, second = two_runs(spark, [(1, "ab"), (4, "d")], [(2, "ac"), (3, "ab"), (5, "d")])
+    assert second == [(2, 2, 1, True), (3, 1, 2, False), (5, 4, 2, False)]
