@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 
 from wavelens.llm import (
     bpe,
+    decontaminate,
     embed_dedup,
     exact_dedup,
     langid,
+    lexical_search,
     license_scan,
     line_dedup,
     minhash,
     packing,
+    periodic,
     pii,
     sharding,
 )
@@ -54,9 +57,10 @@ WITH texts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines
 lines AS (SELECT doc_id, unnest(lines) AS line_text, generate_subscripts(lines, 1) - 1 AS line FROM texts),
 sets AS (
   SELECT doc_id, line, list_distinct(list_filter(
-    string_split_regex(line_text, '[ 	]+'), lambda w: w <> '')) AS ws FROM lines
+    string_split_regex(line_text, '[ 	
+]+'), lambda w: w <> '')) AS ws FROM lines
 ),
-long AS (SELECT row_number() OVER (ORDER BY doc_id, line) AS id, doc_id, line, ws, len(ws) AS n FROM sets WHERE len(ws) >= 5),
+long AS (SELECT row_number() OVER (ORDER BY doc_id, line) AS id, doc_id, line, ws, len(ws) AS n FROM sets WHERE len(ws) >= 1),
 words AS (SELECT id, n, unnest(ws) AS w FROM long),
 counts AS (SELECT w, count(*) AS c FROM words GROUP BY w),
 ranked AS (
@@ -139,6 +143,82 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_dedup(keyed_text(table(spark, sf_dir, "documents")), words=2)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fifty best documents for every benchmark item."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP11_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+),
+items AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+),
+sizes AS (SELECT doc_id, len(terms) AS n FROM texts WHERE len(terms) > 0),
+corpus AS (SELECT count(*) AS total, CAST(sum(n) AS BIGINT) AS words FROM sizes),
+found AS (
+  SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(terms) AS term FROM texts)
+  WHERE term IN (SELECT term FROM items) GROUP BY doc_id, term
+),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * max(total) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM found, corpus GROUP BY term
+),
+scores AS (
+  SELECT item_id, doc_id,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * total) // words)))) AS BIGINT) AS score
+  FROM found JOIN items USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id), corpus GROUP BY item_id, doc_id
+),
+ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+  FROM scores WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 50
+"""
+
+
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document lie in passages of which benchmark items."""
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP12_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark
+),
+windows AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS k, ws[p : p + least(len(ws), 10) - 1] AS gram
+  FROM (SELECT *, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) AS p FROM items WHERE len(ws) > 0)
+),
+grams AS (
+  SELECT doc_id, k, p, ws[p : p + k - 1] AS gram
+  FROM (SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS p FROM texts, (SELECT DISTINCT k FROM windows))
+),
+hits AS (SELECT doc_id, item_id, g.k, p FROM grams g JOIN windows w ON g.k = w.k AND g.gram = w.gram),
+places AS (SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest(range(p, p + k)) AS place FROM hits) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS list
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(ws) AS n_words, coalesce(places.n, 0) AS n_hit, coalesce(named.n, 0) AS n_items,
+       sha256(coalesce(list, '')) AS items_sha256, places.n IS NOT NULL AS contaminated
+FROM texts LEFT JOIN places USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, of which one in ten is made periodic first."""
+    return periodic.report(table(spark, sf_dir, "documents"), alter=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_license_scan": op2_license_scan,
@@ -150,9 +230,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_pii": op9_pii,
     "op10_minhash": op10_minhash,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_decontaminate": op12_decontaminate,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 SQL: dict[str, str] = {
     "op3_line_dedup": OP3_SQL,
     "op5_exact_dedup": OP5_SQL,
+    "op11_lexical_search": OP11_SQL,
+    "op12_decontaminate": OP12_SQL,
 }
