@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wavelens.llm.common import filled
+from wavelens.session import stored
 
 WINDOW = 10
 #: Bytes of windows, their words and item lists, that are broadcast at once.
@@ -87,7 +88,7 @@ def find(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_bytes: i
     no ranges; rows that repeat each have their own result; without items nothing is hit.
     """
     spark = docs.sparkSession
-    lists = item_windows(items.select("item_id", "text"), window).cache()
+    lists = stored(item_windows(items.select("item_id", "text"), window), "item-windows")
     width = F.aggregate(F.concat("words", "items"), F.lit(ROW_BYTES), lambda n, x: n + F.octet_length(x) + 24)
     facts = lists.groupBy("size").agg(F.sum(width.cast("long")).alias("bytes")).collect()
     sizes = sorted((r["size"] for r in facts), reverse=True)
