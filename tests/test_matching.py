@@ -75,6 +75,32 @@ def test_assignment_is_the_greedy_one(spark, seed):
     assert {(r["base"], r["other"]) for r in got} == taken and len(got) == len(taken)
 
 
+def test_a_long_chain_of_falling_scores_takes_few_rounds(spark, monkeypatch):
+    """500 names, each better matched to the one before: every other pair is taken."""
+    rounds, cut = [], ma.cut_lineage
+    monkeypatch.setattr(ma, "cut_lineage", lambda df: rounds.append(1) or cut(df))
+    pairs = []
+    for i in range(499):
+        a, b = (i + 1) // 2, i // 2
+        pairs.append((a, f"a{a}", b, f"b{b}", 1 - i / 1000))
+    df = spark.createDataFrame(pairs, "base_position int, base string, other_position int, other string, score double")
+    got = {(r["base"], r["other"]) for r in ma.assign_one_to_one(df).collect()}
+    assert got == {(f"a{i}", f"b{i}") for i in range(250)} and len(rounds) <= 12
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_assignment_is_the_greedy_one(spark, seed):
+    rng = random.Random(seed)
+    pairs = [(a, f"a{a}", b, f"b{b}", rng.randrange(1, 9) / 10) for a in range(25) for b in range(20) if rng.random() < (0.1, 0.3, 0.9, 0.05)[seed]]
+    want, used = set(), set()
+    for a, base, b, other, _ in sorted(pairs, key=lambda p: (-p[4], p[0], p[2])):
+        if base not in used and other not in used:
+            used |= {base, other}
+            want.add((base, other))
+    df = spark.createDataFrame(pairs, "base_position int, base string, other_position int, other string, score double")
+    assert {(r["base"], r["other"]) for r in ma.assign_one_to_one(df).collect()} == want
+
+
 def test_a_chain_of_falling_scores_needs_several_rounds(spark):
     pairs = [(i, f"a{i}", j, f"b{j}", 0.9 - 0.01 * (i + j)) for i in range(6) for j in (i - 1, i) if j >= 0]
     df = spark.createDataFrame(pairs, "base_position int, base string, other_position int, other string, score double")

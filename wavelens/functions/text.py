@@ -101,17 +101,8 @@ def _is_syllable(char: str) -> bool:
     return 0xAC00 <= ord(char) <= 0xD7A3
 
 
-def _char_class(chars: Mapping[str, str]) -> str:
-    """A regular expression class of these characters, as ranges."""
-    codes = sorted(map(ord, chars))
-    starts = [c for i, c in enumerate(codes) if i == 0 or codes[i - 1] != c - 1]
-    ends = [c for i, c in enumerate(codes) if i == len(codes) - 1 or codes[i + 1] != c + 1]
-    return "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in zip(starts, ends, strict=True))
-
-
 _ACCENTED, _UNACCENTED, _EXPANDED = _accent_tables()
-_SYLLABLES = r"\x{ac00}-\x{d7a3}"
-_SEVERAL = f"[{_char_class(_EXPANDED)}{_SYLLABLES}]"
+_SYLLABLE = r"[\x{ac00}-\x{d7a3}]"
 
 
 def _letter(code: Column) -> Column:
@@ -131,15 +122,20 @@ def _syllable_letters(char: Column) -> Column:
 
 
 def _expand(text: Column) -> Column:
-    """Letters that decompose into several, one by one; only texts that hold any pay for it."""
+    """Letters that decompose into several, one by one; only texts that hold any pay for it.
+
+    Whether a text holds any is told by taking them out: one look-up per letter, where a
+    pattern would try hundreds of ranges.
+    """
     table = F.from_json(F.lit(json.dumps(_EXPANDED)), "map<string,string>")
     letters = F.transform(
         F.split(text, ""),
-        lambda c: F.when(c.rlike(f"[{_SYLLABLES}]"), _syllable_letters(c))
-        .when(c.rlike(_SEVERAL), F.element_at(table, c))
-        .otherwise(c),
+        lambda c: F.when(F.ascii(c) < 128, c)
+        .when(c.rlike(_SYLLABLE), _syllable_letters(c))
+        .otherwise(F.coalesce(F.element_at(table, c), c)),
     )
-    return F.when(text.rlike(_SEVERAL), F.array_join(letters, "")).otherwise(text)
+    several = (F.translate(text, "".join(_EXPANDED), "") != text) | text.rlike(_SYLLABLE)
+    return F.when(several, F.array_join(letters, "")).otherwise(text)
 
 
 def strip_accents(text: Column) -> Column:

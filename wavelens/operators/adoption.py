@@ -73,6 +73,91 @@ def adoption_groups(
     )
 
 
+#: Bits of a counter within a packed sum, and counters in one. A sum takes in as many rows as a counter of one bit
+#: less has room for.
+LANE_BITS = 21
+LANES = 3
+
+
+def adoption_packed(
+    df: DataFrame, groups: Mapping[str, Mapping[str, str]], dims: Sequence[str], unmapped: str = "zero"
+) -> DataFrame:
+    """As :func:`adoption_groups`, without a row per respondent and option.
+
+    The flags of three options are three counters within one number, so that one sum
+    counts all three; ``n`` options take ``n / 3`` sums, however many respondents there
+    are. Rows are summed in blocks small enough for the counters (a block lies within one
+    task), which are unpacked and added up. A group's
+    bases are counters too. Flags other than ``0`` and ``1`` are rare and counted apart.
+    """
+    if not groups:
+        return adoption_groups(df, groups, dims, unmapped)
+    keys = [lit_col(d) for d in dims]
+    options = [(g, option, column) for g, columns in enumerate(groups.values()) for column, option in columns.items()]
+    text = {c: lit_col(c).cast("string") for _, _, c in options}
+    asked = [F.coalesce(*[text[c] for c in columns]).isNotNull() for columns in groups.values()]
+    marks = asked + [text[c] == "1" for _, _, c in options]
+    if unmapped != "zero":
+        marks += [text[c].isNotNull() for _, _, c in options]
+    bits = [F.coalesce(mark.cast("long"), F.lit(0).cast("long")) for mark in marks]
+    packed = [
+        sum((bits[i + lane] * (1 << (LANE_BITS * lane)) for lane in range(1, min(LANES, len(bits) - i))), bits[i])
+        for i in range(0, len(bits), LANES)
+    ]
+    present = not_null(df, dims)
+    block = F.shiftright(F.monotonically_increasing_id(), LANE_BITS - 1).alias("_block")  # of one task
+    sums = present.select(*keys, block, *[p.alias(f"_p{i}") for i, p in enumerate(packed)]).groupBy(*dims, "_block").agg(
+        *[F.sum(f"_p{i}").alias(f"_p{i}") for i in range(len(packed))]
+    )
+    words = F.array(*[F.col(f"_p{i}") for i in range(len(packed))])
+    cells = sums.select(*keys, F.posexplode(words).alias("_word", "_sum"))
+    lanes = F.array(*[F.shiftright("_sum", LANE_BITS * lane).bitwiseAND((1 << LANE_BITS) - 1) for lane in range(LANES)])
+    cells = cells.select(*keys, "_word", F.posexplode(lanes).alias("_lane", "_n"))
+    totals = cells.groupBy(*dims, (F.col("_word") * LANES + F.col("_lane")).alias("_at")).agg(F.sum("_n").alias("_n"))
+    totals = totals.filter(F.col("_at") < len(bits))
+    at, first = F.col("_at"), len(groups)
+    option = F.when(at < first, F.lit(-1)).otherwise((at - first) % len(options))
+    group_of = F.array(*[F.lit(g) for g, _, _ in options])
+    group = F.when(at < first, at).otherwise(group_of[option])
+    what = F.when(at < first, "eligible").when(at < first + len(options), "selected").otherwise("answered")
+    found = totals.select(*keys, group.alias("_group"), option.alias("_option"), what.alias("_what"), "_n")
+    bases = found.filter("_what = 'eligible' AND _n > 0").select(
+        *[F.col(d).alias(f"_{d}") for d in dims], F.col("_group").alias("_g"), F.col("_n").alias("eligible")
+    )
+    rows = found.filter("_option >= 0").groupBy(*dims, "_group", "_option").agg(
+        F.sum(F.when(F.col("_what") == "selected", F.col("_n"))).cast("double").alias("selected"),
+        F.sum(F.when(F.col("_what") == "answered", F.col("_n"))).alias("answered"),
+    )
+    same = [lit_col(d).eqNullSafe(lit_col(f"_{d}")) for d in dims] + [F.col("_group") == F.col("_g")]
+    rows = rows.join(bases, same).drop(*[f"_{d}" for d in dims], "_g")
+    odd = _odd_flags(present, [c for _, _, c in options], dims)
+    other = [lit_col(d).eqNullSafe(lit_col(f"_{d}")) for d in dims] + [F.col("_at_option") == F.col("_option")]
+    rows = rows.join(odd, other, "left").drop(*[f"_{d}" for d in dims])
+    numeric = F.coalesce("answered", F.lit(0)) - F.coalesce("_texts", F.lit(0))
+    selected = F.col("selected") + F.coalesce("_more", F.lit(0.0))
+    if unmapped != "zero":
+        selected = F.when(numeric > 0, selected)
+    names = F.array(*[F.lit(o) for _, o, _ in options])
+    categories = F.array(*[F.lit(c) for c in groups])
+    return rows.select(
+        *keys, names[F.col("_option")].alias("option"), "eligible", selected.alias("selected"),
+        share(selected, F.col("eligible")).alias("pct"), categories[F.col("_group")].alias("category"),
+    )
+
+
+def _odd_flags(df: DataFrame, columns: Sequence[str], dims: Sequence[str]) -> DataFrame:
+    """``(_dims…, _at_option, _more, _texts)`` of flags that are neither empty nor ``0`` or ``1``.
+
+    ``_more`` adds up those that are numbers, ``_texts`` counts those that are none.
+    """
+    flags = F.array(*[F.struct(F.lit(i).alias("_at_option"), lit_col(c).cast("string").alias("flag")) for i, c in enumerate(columns)])
+    odd = df.select(*[lit_col(d).alias(f"_{d}") for d in dims], F.inline(F.filter(flags, lambda x: ~x["flag"].isin("0", "1"))))
+    number = F.col("flag").try_cast("double")
+    return odd.groupBy(*[f"_{d}" for d in dims], "_at_option").agg(
+        F.sum(number).alias("_more"), F.count(F.when(number.isNull(), F.lit(1))).alias("_texts")
+    )
+
+
 def adoption(
     df: DataFrame, options: Sequence[str], dims: Sequence[str], prefix: str = "",
     unmapped: str = "zero",

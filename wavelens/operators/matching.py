@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wavelens.session import cut_lineage
@@ -125,37 +125,67 @@ def fuzzy_candidates(
     )
 
 
+PAIR = ["base_position", "base", "other_position", "other", "score"]
+
+
 def assign_one_to_one(pairs: DataFrame) -> DataFrame:
     """Greedy assignment: best score first, ties by base and then other position.
 
-    A pair that is the best of both its names is what the greedy order would
-    take, so every round accepts all such pairs and drops the names they use.
-    The best pair of a name is an aggregate (one candidate per name and task is
-    moved). A round is written once, what it takes and what is left together, and
-    the next starts from these files in the shared folder.
+    A pair is taken if no better pair of either name is. One that is the best of both its
+    names is taken at once. One with a single better pair is taken if that one is not, so
+    such pairs hang in chains, and a chain is followed to its end by pointer jumping: each
+    step joins every pair to what its better pair has found, so that steps double. What
+    hangs on a pair with several better ones waits; pairs of the names taken go, and the
+    rest starts anew. Every step is written once to the shared folder. A name has at most
+    as many candidates as the other table is wide, which bounds the windows.
     """
-    columns = ["base_position", "base", "other_position", "other", "score"]
-    rank = F.struct("score", -F.col("base_position"), -F.col("other_position"))
-    left = cut_lineage(pairs.select(*columns))
+    left = cut_lineage(pairs.select(*PAIR).withColumn("id", F.monotonically_increasing_id()))
     accepted = []
     while not left.isEmpty():
-        best_base = left.groupBy("base").agg(F.max_by("other", rank).alias("other"))
-        best_other = left.groupBy("other").agg(F.max_by("base", rank).alias("base"))
-        mutual = best_base.join(best_other, ["base", "other"])
-        by_base = mutual.select("base", F.col("other").alias("taken_other"))
-        by_other = mutual.select("other", F.col("base").alias("taken_base"))
-        told = left.join(by_base, "base", "left").join(by_other, "other", "left")
-        taken = F.coalesce(F.col("taken_other") == F.col("other"), F.lit(False))
-        open_ = F.col("taken_other").isNull() & F.col("taken_base").isNull()
-        done = cut_lineage(told.filter(taken | open_).select(*columns, taken.alias("taken")))
-        accepted.append(done.filter("taken").select(*columns))
-        left = done.filter("NOT taken").select(*columns)
-    out = left
+        ended = _followed(cut_lineage(_links(left)))
+        taken = ended.filter("flips % 2 = 0").select("id", "base", "other")
+        accepted.append(left.join(taken.select("id"), "id", "left_semi").select(*PAIR))
+        left = cut_lineage(left.join(taken, "base", "left_anti").join(taken, "other", "left_anti"))
+    out = left.select(*PAIR)
     for taken in accepted:
         out = out.unionAll(taken)
     return out
 
 
+def _links(left: DataFrame) -> DataFrame:
+    """Pairs with at most one better pair: ``(id, base, other, parent, flips, ended)``.
+
+    ``parent`` is the better pair, or the pair itself at the end of a chain; ``flips``
+    counts the steps to it.
+    """
+    order = [F.desc("score"), F.asc("base_position"), F.asc("other_position")]
+    ranked = left
+    for side in ("base", "other"):
+        within = Window.partitionBy(side).orderBy(*order)
+        ranked = ranked.withColumn(f"{side}_rank", F.row_number().over(within))
+        ranked = ranked.withColumn(f"{side}_best", F.first("id").over(within))
+    best = (F.col("base_rank") == 1) & (F.col("other_rank") == 1)
+    parent = F.when(F.col("base_rank") == 2, F.col("base_best")).otherwise(F.col("other_best"))
+    return ranked.filter("base_rank + other_rank <= 3").select(
+        "id", "base", "other", F.when(best, F.col("id")).otherwise(parent).alias("parent"),
+        F.when(best, 0).otherwise(1).cast("long").alias("flips"), best.alias("ended"),
+    )
+
+
+def _followed(links: DataFrame) -> DataFrame:
+    """The links whose chain ends, with ``parent`` its end and ``flips`` the steps to there."""
+    while not links.filter("NOT ended").isEmpty():
+        above = links.select(
+            F.col("id").alias("parent"), F.col("parent").alias("next"), F.col("flips").alias("more"), F.col("ended").alias("end")
+        )
+        links = cut_lineage(
+            links.join(above, "parent").select(
+                "id", "base", "other", F.col("next").alias("parent"), (F.col("flips") + F.col("more")).alias("flips"), F.col("end").alias("ended")
+            )
+        )
+    return links
+
+
 def unmatched(names: DataFrame, matches: DataFrame, side: str) -> DataFrame:
     """Names of one side that no accepted match uses."""
     return names.join(matches.select(F.col(side).alias("name")), "name", "left_anti")

@@ -16,7 +16,7 @@ from wavelens.operators import filters as fl
 from wavelens.operators import ordinal as od
 from wavelens.operators import profile as pr
 from wavelens.operators import standardize as st
-from wavelens.registry.core import adoption_sql, dist_sql, quantile_sql, register
+from wavelens.registry.core import ROUNDED_SHARE, adoption_sql, dist_sql, quantile_sql, register
 from wavelens.session import scratch_path, stored
 from wavelens.sources import readers, writers
 
@@ -210,14 +210,16 @@ def sink_dictionary(s, d):
     """The null dictionary of all responses, written and read again."""
     path = scratch_path(s, "null-dictionary")
     writers.export_csv(pr.null_dictionary(R(s, d), "responses").orderBy("column"), path)
-    return s.read.option("header", True).csv(path).select("wave", "column", "type", "null_meaning")
+    return s.read.schema("wave string, column string, type string, pct_null double, null_meaning string").option("header", True).csv(path)
 
 
-register("sink_dictionary", sink_dictionary, " UNION ALL ".join(
-    f"""SELECT 'responses' AS wave, '{c}' AS "column", CASE WHEN bool_and(CAST({c} AS VARCHAR) IN ('0', '1')) THEN 'binary_multiselect'
-    ELSE 'single_choice' END AS type, CASE WHEN bool_and(CAST({c} AS VARCHAR) IN ('0', '1')) THEN 'group_not_shown'
-    WHEN (count(*) - count({c})) * 100.0 / count(*) < 9.95 THEN 'near_universal' ELSE 'conditional_on_profile' END AS null_meaning FROM responses"""
-    for c in ("resp_id", "edition", "role", "level", "segment", "region", "work_model", "pay_band")))
+register("sink_dictionary", sink_dictionary,
+         "SELECT wave, \"column\", CASE WHEN b THEN 'binary_multiselect' ELSE 'single_choice' END AS type, pct_null, "
+         "CASE WHEN b THEN 'group_not_shown' WHEN pct_null < 10 THEN 'near_universal' ELSE 'conditional_on_profile' END AS null_meaning "
+         f"FROM (SELECT wave, \"column\", b, {ROUNDED_SHARE} AS pct_null FROM (" + " UNION ALL ".join(
+             f"SELECT 'responses' AS wave, '{c}' AS \"column\", coalesce(bool_and(CAST({c} AS VARCHAR) IN ('0', '1')), false) AS b, "
+             f"count(*) AS total, count(*) - count({c}) AS missing FROM responses"
+             for c in ("resp_id", "edition", "role", "level", "segment", "region", "work_model", "pay_band")) + ") u) t")
 
 
 def scan_required_source(s, d):

@@ -37,6 +37,12 @@ def register(key: str, run: Run, sql: str | None = None) -> None:
     QUERIES[key] = Query(run, with_views(sql) if sql else None)
 
 
+def register_as(key: str, run: Run, other: str) -> None:
+    """Add a query that must give what the registered query ``other`` gives."""
+    register(key, run)
+    QUERIES[key] = Query(run, QUERIES[other].sql)
+
+
 def with_views(sql: str) -> str:
     used = [f"{n} AS MATERIALIZED ({t})" for n, t in VIEWS.items() if re.search(rf"\b{n}\b", sql)]
     if not used:
@@ -47,6 +53,13 @@ def with_views(sql: str) -> str:
     return f"WITH{head[1] or ''} {', '.join(used)}, {sql[head.end():]}"
 
 
+# A share of NULLs to one decimal, over ``missing`` and ``total``. A tie between two tenths is where 2000 * missing is
+# an odd multiple of the total. By its binary value, a share that is a multiple of a quarter is the tie itself and goes
+# to even; any other is on one side of it.
+ROUNDED_SHARE = """CASE WHEN (2000 * missing) % total = 0 AND (2000 * missing // total) % 2 = 1 AND (400 * missing) % total = 0
+ THEN 2 * round_even(1000 * missing / total / 2, 0) / 10 ELSE round(CAST(missing AS DOUBLE) / total * 100, 1) END"""
+
+
 # --- pieces of check SQL ----------------------------------------------------------
 
 

@@ -261,8 +261,9 @@ SCENE = f"""SELECT categoria, CAST(row_number() OVER (PARTITION BY categoria ORD
  FROM g WHERE edicao = '{W3}'"""
 SQL["cenario_atual"] = SCENE
 SQL["sintese_executiva"] = f"SELECT categoria, ranking, opcao, pct_adocao FROM ({SCENE}) s WHERE ranking <= 5"
-SQL["evolucao_2024_2026"] = """SELECT a.categoria, a.opcao, a.pct_adocao AS pct_2024_2025, b.pct_adocao AS pct_2025_2026, round(b.pct_adocao - a.pct_adocao, 1) AS variacao_pp
-FROM g a JOIN g b ON a.categoria = b.categoria AND a.opcao = b.opcao WHERE a.edicao = '2024-2025' AND b.edicao = '2025-2026'"""
+SQL["evolucao_2024_2026"] = """SELECT *, round(pct_2025_2026 - pct_2024_2025, 1) AS variacao_pp FROM (
+ SELECT categoria, opcao, max(CASE WHEN edicao = '2024-2025' THEN pct_adocao END) AS pct_2024_2025, max(CASE WHEN edicao = '2025-2026' THEN pct_adocao END) AS pct_2025_2026
+ FROM g GROUP BY categoria, opcao) w WHERE pct_2024_2025 IS NOT NULL AND pct_2025_2026 IS NOT NULL"""
 BARRIERS = "SELECT edicao, opcao, elegiveis, selecionaram, pct_adocao FROM g WHERE categoria = 'motivos_para_nao_usar_ia'"
 SQL["barreiras_ia_historico"] = BARRIERS
 SQL["barreiras_ia_variacao_historica"] = f"SELECT opcao, \"{W1}\" AS pct_2023_2024, \"{W3}\" AS pct_2025_2026, variacao_pp FROM ({history(BARRIERS, 'opcao', 'pct_adocao', [W1, W3], 1, 'variacao_pp')}) v"

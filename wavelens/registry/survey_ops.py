@@ -20,7 +20,7 @@ from wavelens.registry.basics import (
     ADOPT, BANDS, DIST, FL, OPTS, POS, R, VALS, _BANDS_BY_ROLE, _CATALOG, _MERGE, _ROLE_COUNTS,
     _pivot, adopted, bands_by_role, dist, evolved, role_counts, with_position,
 )
-from wavelens.registry.core import adoption_sql, dist_sql, quantile_sql, register
+from wavelens.registry.core import ROUNDED_SHARE, adoption_sql, dist_sql, quantile_sql, register
 from wavelens.session import header_table, scratch_path
 from wavelens.sources import readers
 
@@ -140,16 +140,10 @@ def _null_row(view, c):
             f"count(*) AS total, count(*) - count({c}) AS missing FROM {view}")
 
 
-# A tie between two tenths is where 2000 * missing is an odd multiple of the total. By its binary value, a share
-# that is a multiple of a quarter is the tie itself and goes to even; any other is on one side of it.
-_ROUNDED = """CASE WHEN (2000 * missing) % total = 0 AND (2000 * missing // total) % 2 = 1 AND (400 * missing) % total = 0
- THEN 2 * round_even(1000 * missing / total / 2, 0) / 10 ELSE round(CAST(missing AS DOUBLE) / total * 100, 1) END"""
-
-
 register("survey_null_dictionary", survey_null_dictionary,
          "SELECT wave, \"column\", CASE WHEN b THEN 'binary_multiselect' ELSE 'single_choice' END AS type, pct_null, "
          "CASE WHEN b THEN 'group_not_shown' WHEN pct_null < 10 THEN 'near_universal' ELSE 'conditional_on_profile' END AS null_meaning FROM ("
-         + f"SELECT wave, \"column\", b, {_ROUNDED} AS pct_null FROM ("
+         + f"SELECT wave, \"column\", b, {ROUNDED_SHARE} AS pct_null FROM ("
          + " UNION ALL ".join(_null_row(w, c) for w, cols in _CATALOG for c in cols) + ") u) t")
 register("profile_columns_like",
          lambda s, d: pr.columns_like(
