@@ -73,3 +73,49 @@ def test_the_sample_is_bounded_and_whole_otherwise(spark):
     docs = spark.range(3000).select(F.col("id").alias("key"), F.lit("a b c").alias("text"), F.lit("en").alias("lang"))
     assert 40 <= len(li.training_runs(docs, documents=50)) <= 50
     assert len(li.training_runs(docs.limit(30), documents=50)) == 30
+
+
+def log_likelihood(model, chunk):
+    """Sum over all paths, by plain dynamic programming."""
+    total = 0.0
+    for words, tags in chunk:
+        scores = li._scores(model, words)[0]
+        move = model.transitions.astype(np.float64)
+        total += scores[np.arange(len(words)), tags].sum() + sum(move[a, b] for a, b in zip(tags, tags[1:], strict=False))
+        state = scores[0]
+        for own in scores[1:]:
+            state = own + np.logaddexp.reduce(state[:, None] + move, axis=0)
+        total -= np.logaddexp.reduce(state)
+    return total
+
+
+def test_gradients_are_those_of_the_likelihood():
+    rng = np.random.default_rng(3)
+    words = ["casa", "house", "maison", "haus", "la", "the", "das", "x"]
+    chunk = [([words[rng.integers(8)] for _ in range(n)], rng.integers(3, size=n).tolist()) for n in (1, 2, 5, 9)]
+    model = li.Model(
+        ["a", "b", "c"], rng.normal(size=(li.FEATURES, 3)), rng.normal(size=(3, 3)), rng.normal(size=(3, 3)), {"casa": 0, "the": 1, "das": 2}
+    )
+    slope, lex, moves = li.gradients(model, chunk)
+    used = np.unique(li.features(words)[0])[:12]
+    for value, grad, places in (
+        (model.transitions, moves, [(i, j) for i in range(3) for j in range(3)]),
+        (model.lexical, lex, [(i, j) for i in range(3) for j in range(3)]),
+        (model.weights, slope, [(f, int(f) % 3) for f in used]),
+    ):
+        for at in places:
+            kept, step = value[at], 1e-5
+            value[at] = kept + step
+            up = log_likelihood(model, chunk)
+            value[at] = kept - step
+            down = log_likelihood(model, chunk)
+            value[at] = kept
+            assert abs((up - down) / (2 * step) - grad[at]) < 1e-5
+
+
+def test_every_language_is_drawn_at_any_size():
+    for n in (1, 400, 801, 10**6, 10**10, 10**15):
+        limit = li.hash_limit(n, 400)
+        assert 1 <= limit <= 1 << li.HASH_BITS
+        if 801 <= n <= 10**10:
+            assert abs(n * limit / 2**li.HASH_BITS - 800) < 1

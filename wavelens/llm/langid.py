@@ -32,6 +32,8 @@ FIT_RUNS = 5
 RUN_WORDS = 24
 #: Share of training runs made of two languages.
 SWITCHED = 0.3
+#: Slots of the hash that training documents are drawn by, as a power of two.
+HASH_BITS = 40
 FEATURES = 1 << 16
 NGRAMS = (1, 2, 3, 4)
 EPOCHS = 5
@@ -117,6 +119,27 @@ class Model:
 
 def forward_backward(evidence: np.ndarray, lengths: np.ndarray, transitions: np.ndarray) -> np.ndarray:
     """Posteriors ``[n, K]`` of chains laid end to end, all chains one step at a time."""
+    _, ahead, back = messages(evidence, lengths, transitions)
+    ahead *= back
+    return ahead / ahead.sum(axis=1, keepdims=True)
+
+
+def pair_posteriors(evidence: np.ndarray, lengths: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Posteriors of words, and ``[m, K, K]`` of words with their next one in the chain."""
+    local, ahead, back = messages(evidence, lengths, transitions)
+    post = ahead * back
+    here = np.ones(len(local), bool)
+    here[np.cumsum(lengths) - 1] = False
+    here = np.flatnonzero(here)
+    pair = ahead[here, :, None] * np.exp(transitions)[None] * (local * back)[here + 1, None, :]
+    return post / post.sum(axis=1, keepdims=True), pair / pair.sum(axis=(1, 2), keepdims=True)
+
+
+def messages(evidence: np.ndarray, lengths: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Local factors of all words, and what comes to each from before (itself included) and after.
+
+    Each is scaled freely per word.
+    """
     k = evidence.shape[1]
     local = np.exp(evidence - evidence.max(axis=1, keepdims=True))
     step = np.exp(transitions).astype(evidence.dtype)
@@ -132,14 +155,15 @@ def forward_backward(evidence: np.ndarray, lengths: np.ndarray, transitions: np.
         state /= state.sum(axis=1, keepdims=True)
         ahead[at] = state
     back = np.ones((len(size), k), local.dtype)
+    behind = np.empty_like(local)
     end = start + size - 1
     for t, n in enumerate(active):
         at = end[:n] - t
         if t:
             back = (local[at + 1] * back[:n]) @ step.T
             back /= back.sum(axis=1, keepdims=True)
-        ahead[at] *= back[:n]
-    return ahead / ahead.sum(axis=1, keepdims=True)
+        behind[at] = back[:n]
+    return local, ahead, behind
 
 
 def chains(texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -168,6 +192,11 @@ def posteriors(model: Model, texts: list[str | None]) -> tuple[list[str], np.nda
     return [w for w, s in zip(words, spelled, strict=True) if s], found, owner[line]
 
 
+def hash_limit(n: int, documents: int) -> int:
+    """How far up the slots of a hash to draw about ``2 * documents`` of ``n``; never none."""
+    return max(1, min(1 << HASH_BITS, (2 * documents << HASH_BITS) // n))
+
+
 def training_runs(docs: DataFrame, documents: int = FIT_DOCUMENTS) -> list[tuple[str, list[str]]]:
     """Word runs with their language, from at most ``documents`` documents per language.
 
@@ -180,8 +209,8 @@ def training_runs(docs: DataFrame, documents: int = FIT_DOCUMENTS) -> list[tuple
         return []
     order = F.xxhash64(F.col("key").cast("string"))
     # a few numbers per language decide in the scan which texts move at all
-    limits = F.create_map(*[F.lit(x) for c, n in counts.items() for x in (c, min(1 << 20, (2 * documents << 20) // n))])
-    drawn = docs.filter(F.pmod(order, F.lit(1 << 20)) < F.element_at(limits, F.col("lang")))
+    limits = F.create_map(*[F.lit(x) for c, n in counts.items() for x in (c, hash_limit(n, documents))])
+    drawn = docs.filter(F.pmod(order, F.lit(1 << HASH_BITS)) < F.element_at(limits, F.col("lang")))
     rank = F.row_number().over(W.partitionBy("lang").orderBy(order, "key"))
     rows = drawn.withColumn("rank", rank).filter(F.col("rank") <= documents)
 
@@ -236,34 +265,45 @@ def fit(runs: list[tuple[str, list[str]]], epochs: int = EPOCHS, batch: int = 19
     return model
 
 
-def _step(model: Model, chunk: list[tuple[list[str], list[int]]], squares: list[np.ndarray], rate: float) -> None:
-    words = [w for ws, _ in chunk for w in ws]
-    tags = np.array([t for _, ts in chunk for t in ts])
-    lengths = np.array([len(ws) for ws, _ in chunk])
-    k, n = len(model.languages), len(words)
+def _scores(model: Model, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Scores ``[n, K]`` of words, with their features, the numbers of these, and their lexicon."""
     feature, starts = features(words)
     counts = np.diff(np.append(starts, len(feature)))
-    scale = 1 / np.sqrt(counts)
-    scores = np.add.reduceat(model.weights[feature], starts, axis=0) * scale[:, None]
+    scores = np.add.reduceat(model.weights[feature].astype(np.float64), starts, axis=0) / np.sqrt(counts)[:, None]
     lexical = np.array([model.lexicon.get(w, -1) for w in words])
     scores[lexical >= 0] += model.lexical[lexical[lexical >= 0]]
-    post = forward_backward(scores.astype(np.float64), lengths, model.transitions.astype(np.float64))
+    return scores, feature, counts, lexical
+
+
+def gradients(model: Model, chunk: list[tuple[list[str], list[int]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Slopes of the log-likelihood of labelled chains by weights, lexical weights and transitions.
+
+    Each is what was seen less what the model expects: words by their posteriors,
+    neighbours by those of pairs.
+    """
+    words = [w for ws, _ in chunk for w in ws]
+    tags = np.array([t for _, ts in chunk for t in ts])
+    lengths = np.array([len(ws) for ws, _ in chunk])
+    k, n = len(model.languages), len(words)
+    scores, feature, counts, lexical = _scores(model, words)
+    post, pair = pair_posteriors(scores, lengths, model.transitions.astype(np.float64))
     gap = -post
     gap[np.arange(n), tags] += 1
-    # transitions: seen pairs less expected pairs, the latter from both neighbours' posteriors
     inner = np.ones(n, bool)
     inner[np.cumsum(lengths) - 1] = False
     here = np.flatnonzero(inner)
-    pair = post[here, :, None] * post[here + 1, None, :] * np.exp(model.transitions)[None]
-    pair /= pair.sum(axis=(1, 2), keepdims=True)
     moves = -pair.sum(0)
     np.add.at(moves, (tags[here], tags[here + 1]), 1)
     rows = np.repeat(np.arange(n), counts)
-    flow = gap * scale[:, None]
+    flow = gap / np.sqrt(counts)[:, None]
     slope = np.stack([np.bincount(feature, flow[rows, c], FEATURES) for c in range(k)], axis=1)
     lex = np.zeros((k, k))
     np.add.at(lex, lexical[lexical >= 0], gap[lexical >= 0])
-    for value, grad, square in zip((model.weights, model.lexical, model.transitions), (slope, lex, moves), squares, strict=True):
+    return slope, lex, moves
+
+
+def _step(model: Model, chunk: list[tuple[list[str], list[int]]], squares: list[np.ndarray], rate: float) -> None:
+    for value, grad, square in zip((model.weights, model.lexical, model.transitions), gradients(model, chunk), squares, strict=True):
         grad = grad / len(chunk) - 1e-5 * value
         square += grad**2
         value += (rate * grad / np.sqrt(square)).astype(np.float32)
