@@ -40,17 +40,28 @@ def _chosen(plain: DataFrame, key: Column, kept: DataFrame, names: list[str]) ->
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that have a language. Code-switched ones stay, however their words divide."""
+    """Documents that have a language. Code-switched ones stay, however their words divide.
+
+    Null, empty and letterless texts go. Where no row says its language, there is nothing
+    to learn from, and every text with a letter stays. Rows that repeat stay each; a table
+    without rows gives none.
+    """
     plain, of, names = _plain(docs)
     model = langid.trained(plain.select(of("doc_id").alias("doc_id"), of("text").alias("text"), of("lang").alias("lang")))
     text = names[docs.columns.index("text")]
+    if not model.languages:
+        return plain.filter(F.col(text).rlike(r"\p{L}")).toDF(*docs.columns)
     found = langid.predict(plain, model, names, text)
     kept = found.filter(F.col("lang_pred") != langid.UNKNOWN)
     return kept.select(names).toDF(*docs.columns)
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest ``doc_id`` of each group of equal texts."""
+    """The document with the smallest ``doc_id`` of each group of equal texts.
+
+    Null counts as empty, a null ``doc_id`` as larger than any other. Rows that repeat a
+    ``doc_id`` and text are one document, of which one row stays.
+    """
     plain, of, names = _plain(docs)
     rows = exact_dedup.exact_dedup(plain.select(of("doc_id").alias("doc_id"), of("text").alias("text")))
     kept = rows.groupBy(F.struct("doc_id", "text_sha256").alias("key")).agg(
@@ -62,7 +73,11 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares five-word shingles at 0.8 or more."""
+    """One document of each group that shares five-word shingles at 0.8 or more.
+
+    The smallest ``doc_id`` of a group stays, null last. Texts without words, null among
+    them, are near to none and stay. Rows that repeat are one document.
+    """
     plain, of, names = _plain(docs)
     digest = F.sha2(filled(of("text")), 256)
     key = F.struct(of("doc_id").isNull().alias("unknown"), of("doc_id").alias("doc_id"), digest.alias("digest"))
@@ -74,12 +89,24 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data masked and what discloses it taken out."""
-    return pii.sanitise(docs)
+    """All documents, with personal data masked and what discloses it taken out.
+
+    Every row stays, repeated ones too; null and empty texts and those without either are
+    unchanged. ``n_chars`` is counted anew, but for null texts.
+    """
+    out = pii.sanitise(docs)
+    if docs.columns.count("n_chars") != 1 or docs.columns.count("text") != 1:
+        return out
+    counted = F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars"))
+    return out.withColumn("n_chars", counted)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document's token pieces with their places in sequences of 2048."""
+    """Every document's token pieces with their places in sequences of 2048.
+
+    A null or empty text is one piece of the closing token alone; rows that repeat are
+    packed each; other columns are left behind. A table without rows gives no piece.
+    """
     return packing.pack_documents(docs.select("doc_id", "text"), RANKS, public_tokenizers.PATTERN)
 
 
