@@ -15,7 +15,6 @@ import hashlib
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,10 +58,9 @@ def _nulls(layout: Layout) -> str:
 
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A table written wave by wave; empty before its first wave."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
+    if not readers.exists(spark, path):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def read_manifest(spark: SparkSession, layout: Layout) -> dict[str, Entry]:

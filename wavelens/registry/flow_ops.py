@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wavelens import testviews as tv
-from wavelens.operators import profile as pr
 from wavelens.operators import standardize as st
 from wavelens.plans import fixed_values as v
 from wavelens.plans import gold_once, increment
@@ -74,10 +73,11 @@ def raw_wave(answers: DataFrame, wave: str, asked: set[str]) -> DataFrame:
 def write_raw(s, d, root: str) -> dict[str, str]:
     """Raw CSV files of the three waves; a wave has the questions somebody answered in it."""
     people = everybody(s, d)
+    answered = {r["edicao"]: r for r in people.groupBy("edicao").agg(*[F.count(c).alias(c) for c in people.columns if c != "edicao"]).collect()}
     out = {}
     for wave in v.WAVES:
         answers = people.filter(F.col("edicao") == wave)
-        asked = {r["column"] for r in pr.null_profile(answers).filter("nulls < rows").collect()}
+        asked = {c for c, n in answered[wave].asDict().items() if n}
         out[wave] = f"{root}/raw/{wave}"
         raw_wave(answers, wave, asked).write.option("header", True).option("escape", '"').option("quoteAll", True).option(
             "emptyValue", "").csv(out[wave])

@@ -69,6 +69,12 @@ def read_dictionary(spark: SparkSession, path: str, base: str, others: list[str]
     return out
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder ``path``, in whatever store it lies."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def require_source(spark: SparkSession, pattern: str) -> str:
     """The one folder with files that matches ``pattern``; none or several is an error.
 
