@@ -96,3 +96,14 @@ def test_bytes_of_earlier_runs_decide(spark, monkeypatch):
     monkeypatch.setattr(ed, "_digest", lambda: F.unhex(F.sha2(F.substring(ed.normalised(), 1, 1), 256)))
     _, second = two_runs(spark, [(1, "ab"), (4, "d")], [(2, "ac"), (3, "ab"), (5, "d")])
     assert second == [(2, 2, 1, True), (3, 1, 2, False), (5, 4, 2, False)]
+
+
+def test_collisions_are_found_among_many_hits(spark, monkeypatch):
+    """A digest that tells only how long a text is: groups of one text and of several."""
+    monkeypatch.setattr(ed, "_digest", lambda: F.unhex(F.md5(F.length("text").cast("string"))))
+    texts = ["aa", "aa", "bb", "ccc", "ccc", "dddd", None, ""]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    state = docs.select(ed._digest().alias("digest")).groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"))
+    clash = [r["digest"] for r in ed.collisions(docs, state).collect()]
+    want = [r["d"] for r in spark.range(1).select(F.unhex(F.md5(F.lit("2"))).alias("d")).collect()]
+    assert clash == want

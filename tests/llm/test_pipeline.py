@@ -82,3 +82,18 @@ def test_no_rows(spark):
     df = empty(spark).withColumns({"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.lit(1)})
     for _, stage in cp.STAGES:
         assert stage(spark, df, SF).count() == 0
+
+
+def test_texts_stay_where_no_language_can_be_learned(spark):
+    rows = [(1, "some words", None, "a", 10), (2, "12 34", None, "a", 5), (3, None, None, "b", None), (4, "слово", None, "b", 5), (4, "слово", None, "b", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = STAGE["language_id"](spark, docs, SF)
+    assert got.columns == docs.columns and sorted(r["doc_id"] for r in got.collect()) == [1, 4, 4]
+
+
+def test_characters_are_counted_anew_after_masking(spark):
+    rows = [(1, "mail me@x.yz now", "en", "a", 16), (2, "clean", "en", "a", 5), (3, None, "en", "a", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: r for r in STAGE["pii"](spark, docs, SF).collect()}
+    assert got[1]["text"] == "mail [EMAIL] now" and got[1]["n_chars"] == 16 and got[2]["n_chars"] == 5 and got[3]["n_chars"] == 0
+    assert all(r["n_chars"] == len(r["text"] or "") for r in got.values())

@@ -13,6 +13,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Rows, or bytes, of whole groups gathered inside a Python task before they are worked on.
+GROUP_ROWS = 2048
+GROUP_BYTES = 32 << 20
 #: Text handled at once inside a Python task, in bytes.
 SLICE_BYTES = 2 << 20
 
@@ -30,6 +33,30 @@ def filled(text: str | Column = "text") -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def among(rows: DataFrame, keys: DataFrame, key: str = "key", bits: int = 24) -> DataFrame:
+    """Rows whose ``key`` (a hash) may be among those of ``keys``, by a broadcast of fixed size.
+
+    There is a bit per slot of the key, 64 to a row of at most ``2 ** (bits - 6)`` rows.
+    What it lets through too much must do no harm; nothing that is among them is lost.
+    """
+    slot = F.pmod(key, F.lit(1 << bits))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("_slot") % 64).cast("int"))
+    table = keys.select(slot.alias("_slot")).groupBy(F.shiftright("_slot", 6).alias("_part")).agg(F.bit_or(one).alias("_bits"))
+    placed = rows.withColumn("_slot", slot).withColumn("_part", F.shiftright("_slot", 6))
+    met = placed.join(F.broadcast(table), "_part").filter(F.getbit("_bits", (F.col("_slot") % 64).cast("int")) == 1)
+    return met.drop("_slot", "_part", "_bits")
+
+
+def salted_join(left: DataFrame, right: DataFrame, key: str, spread: str, salts: int = 16) -> DataFrame:
+    """Inner join of ``left`` to ``right`` (one row per ``key``), a key's rows dealt over tasks.
+
+    Rows of ``left`` go by the hash of their column ``spread``, those of ``right`` to all.
+    """
+    salt = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
+    every = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.withColumn("_salt", salt).join(every, [key, "_salt"]).drop("_salt")
+
+
 def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch where its texts reach ``limit`` bytes; a longer text stands alone."""
     column = batch.column(batch.schema.get_field_index(text))
@@ -76,8 +103,9 @@ def map_groups(
     """Apply ``work`` to runs of whole groups of ``keys``.
 
     Rows are dealt by ``keys`` and sorted, and ``work`` gets a table of one or more
-    complete groups with the positions where groups begin (and the end). A group must
-    be of bounded size; callers split larger ones into blocks first.
+    complete groups with the positions where groups begin (and the end), as soon as
+    ``GROUP_ROWS`` rows or ``GROUP_BYTES`` bytes are there. A group must be of bounded size;
+    callers split larger ones into blocks first.
     """
     keys = list(keys)
 
@@ -87,7 +115,7 @@ def map_groups(
             if not batch.num_rows:
                 continue
             held.append(batch)
-            if sum(b.num_rows for b in held) < 2048:
+            if sum(b.num_rows for b in held) < GROUP_ROWS and sum(b.nbytes for b in held) < GROUP_BYTES:
                 continue
             rows = pa.Table.from_batches(held)
             cut = _starts(rows, keys)[-2]

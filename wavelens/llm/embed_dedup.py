@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wavelens.llm.common import arrow_map, map_groups
+from wavelens.llm.common import arrow_map, map_groups, salted_join
 from wavelens.llm.components import Forest, components
 from wavelens.session import stored
 
@@ -234,7 +234,7 @@ def near_dedup(
         F.coalesce("component", "row").alias("root"),
     )
     keep = rooted.groupBy("root").agg(F.min("first").alias("keep"))
-    labels = rooted.join(keep, "root").select("v", "n_links", "keep")
+    labels = salted_join(rooted, keep, "root", "row").select("v", "n_links", "keep")
     linked = clean.join(labels, "v").select(
         "vec_id", "n_links", F.col("keep.vec_id").alias("component_id"), (F.col("row") == F.col("keep.row")).alias("kept")
     )

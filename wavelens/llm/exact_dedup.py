@@ -15,7 +15,7 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wavelens.llm.common import filled
+from wavelens.llm.common import among, filled
 from wavelens.session import scratch_path, stored
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -79,13 +79,14 @@ def stream_of(spark: SparkSession, path: str, schema) -> DataFrame:
 def collisions(docs: DataFrame, state: DataFrame) -> DataFrame:
     """Digests whose documents differ in their bytes, after reading all hits in full.
 
-    The smallest and the largest text of a group are equal only if all are; both are
-    found per task first, so a hot group sends two texts per task.
+    A broadcast filter of fixed size leaves the documents that may be hits; of these, the
+    smallest and the largest text of a digest are found in each task before anything
+    moves, so a hot group sends two texts per task. Both are equal only if all are. What
+    the filter lets through too much are groups of one text.
     """
-    hits = state.filter("group_size > 1").select(F.col("digest").alias("hit"))
-    texts = docs.select(_digest().alias("digest"), normalised().alias("text"))
-    found = texts.join(hits, F.col("digest") == F.col("hit"), "left_semi")
-    spread = found.groupBy("digest").agg(F.min("text").alias("low"), F.max("text").alias("high"))
+    hits = state.filter("group_size > 1").select(F.xxhash64("digest").alias("key"))
+    texts = docs.select(_digest().alias("digest"), normalised().alias("text")).withColumn("key", F.xxhash64("digest"))
+    spread = among(texts, hits).groupBy("digest").agg(F.min("text").alias("low"), F.max("text").alias("high"))
     return spread.filter("low <> high").select("digest")
 
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wavelens.llm.common import arrow_map, map_groups, slices
+from wavelens.llm.common import arrow_map, map_groups, salted_join, slices
 from wavelens.llm.components import Forest, components
 from wavelens.session import stored
 
@@ -380,9 +380,11 @@ def near_dedup(
     members = classes.select("row", "doc_id", "set").join(family, "row")
     sets = stored(full_sets(docs, members, words), "sets")
     links = components(confirm(sets, percent)).select(F.col("node").alias("row"), F.col("component").alias("root"))
-    rooted = classes.join(links, "row", "left").select("set", "first", F.coalesce("root", "row").alias("root"))
-    keep = rooted.groupBy("root").agg(F.min("first").alias("keep"))
-    labels = rooted.join(keep, "root").select("set", "keep")
+    rooted = classes.join(links, "row", "left").select("set", "first", "root")
+    linked = rooted.filter("root IS NOT NULL")
+    keep = linked.groupBy("root").agg(F.min("first").alias("keep"))
+    labels = salted_join(linked, keep, "root", "set").select("set", "keep")
+    labels = labels.unionByName(rooted.filter("root IS NULL").select("set", F.col("first").alias("keep")))
     out = rows.filter("n > 0").join(labels, "set").select(
         "doc_id", F.col("n").alias("n_shingles"), F.col("keep.doc_id").alias("component_id"),
         (F.col("row") == F.col("keep.row")).alias("kept"),
