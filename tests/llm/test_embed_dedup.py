@@ -71,3 +71,11 @@ def test_hadamard_keeps_lengths_and_is_its_own_inverse():
     assert np.allclose(em.hadamard(em.hadamard(x)) / 8, x)
     own, more = em.hash_vectors(x, 3, 2, 3)
     assert all(own[i, t] not in more[i, t] and len(set(more[i, t])) == 3 for i in range(5) for t in range(3))
+
+
+def test_registered_query_against_sql(spark):
+    from parity import compare, connect
+    from wavelens.llm.registry import QUERIES, SQL
+
+    folder = "/root/testdata/sf0.001"
+    assert compare(QUERIES["op7_embed_dedup"](spark, folder), connect(folder), SQL["op7_embed_dedup"]) is None

@@ -111,3 +111,11 @@ def test_a_hot_group_gives_no_pairs(spark):
     docs = spark.createDataFrame(rows, DOC).withColumn("row", F.col("doc_id"))
     vertices = mh.signatures(docs, 2).select("row", "sig")
     assert mh.collisions(mh.postings(vertices, 32, 16), vertices, 16).count() < 32 * 400
+
+
+def test_registered_query_against_sql(spark):
+    from parity import compare, connect
+    from wavelens.llm.registry import QUERIES, SQL
+
+    folder = "/root/testdata/sf0.001"
+    assert compare(QUERIES["op10_minhash"](spark, folder), connect(folder), SQL["op10_minhash"]) is None

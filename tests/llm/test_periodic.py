@@ -127,3 +127,11 @@ def test_no_rows(spark):
 def test_ties_and_neighbouring_runs(spark):
     rows = [(1, " ".join(["a b"] * 12 + ["c d"] * 12)), (2, " ".join(["x"] * 24 + ["y"] + ["x"] * 24)), (3, "a " * 23)]
     same(periodic.report(spark.createDataFrame(rows, DOC)), [row(d, t, False) for d, t in rows])
+
+
+def test_registered_query_against_sql(spark):
+    from parity import compare, connect
+    from wavelens.llm.registry import QUERIES, SQL
+
+    folder = "/root/testdata/sf0.001"
+    assert compare(QUERIES["op13_periodic_runs"](spark, folder), connect(folder), SQL["op13_periodic_runs"]) is None

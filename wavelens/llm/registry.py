@@ -115,6 +115,21 @@ def op7_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_dedup(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+OP7_SQL = r"""
+WITH RECURSIVE vectors AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+usable AS (
+  SELECT vec_id, v, sqrt(list_inner_product(v, v)) AS size FROM vectors
+  WHERE v IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0
+),
+links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM usable x JOIN usable y ON x.vec_id < y.vec_id AND len(x.v) = len(y.v) WHERE list_inner_product(x.v, y.v) / (x.size * y.size) >= 0.95),
+ways AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT vec_id, vec_id AS other FROM embeddings UNION SELECT r.vec_id, w.b FROM reach r JOIN ways w ON w.a = r.other),
+direct AS (SELECT a AS vec_id, count(*) AS n FROM ways GROUP BY a)
+SELECT vec_id, coalesce(max(n), 0) AS n_links, min(other) AS component_id, vec_id = min(other) AS kept
+FROM reach LEFT JOIN direct USING (vec_id) GROUP BY vec_id
+"""
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard of every document among 256, with the bytes it brings there."""
     docs = table(spark, sf_dir, "documents").select(
@@ -143,6 +158,23 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_dedup(keyed_text(table(spark, sf_dir, "documents")), words=2)
 
 
+OP10_SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) > 1 THEN list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) ELSE ws END) AS shingle FROM texts
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.doc_id < y.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+ways AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, w.b FROM reach r JOIN ways w ON w.a = r.other)
+SELECT doc_id, coalesce(max(n), 0) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
+
 def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fifty best documents for every benchmark item."""
     return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -219,6 +251,46 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.report(table(spark, sf_dir, "documents"), alter=True)
 
 
+OP13_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS own,
+         CAST(xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+           lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]),
+             lambda x, bit: xor(x >> 1, CASE WHEN x & 1 = 1 THEN CAST(3988292384 AS BIGINT) ELSE 0 END))), CAST(4294967295 AS BIGINT)) AS BIGINT) AS h
+  FROM documents
+),
+facts AS (SELECT *, len(own) AS n, h // 10 AS g FROM texts),
+places AS (SELECT *, CASE WHEN n > 0 THEN g % n ELSE 0 END AS a FROM facts),
+periods AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM places),
+docs AS MATERIALIZED (
+  SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+    THEN list_transform(range(n), lambda i: own[1 + CASE WHEN i >= a THEN a + (i - a) % p ELSE i END]) ELSE own END AS ws
+  FROM periods
+),
+grams AS MATERIALIZED (SELECT doc_id, i, hash(ws[i + 1 : i + 16]) AS quick FROM (SELECT doc_id, ws, unnest(range(n - 15)) AS i FROM docs WHERE n >= 24)),
+twice AS (SELECT doc_id, i, ws[i + 1 : i + 16] AS gram FROM grams SEMI JOIN (SELECT doc_id, quick FROM grams GROUP BY doc_id, quick HAVING count(*) > 1) t USING (doc_id, quick) JOIN docs USING (doc_id)),
+pairs AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM twice x JOIN twice y ON x.doc_id = y.doc_id AND x.gram = y.gram AND x.i < y.i),
+islands AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs),
+stretches AS (SELECT doc_id, q, min(i) AS s, count(*) + 15 AS shared FROM islands GROUP BY doc_id, q, island),
+runs AS MATERIALIZED (SELECT doc_id, s, shared + q AS length, min(q) AS period FROM stretches WHERE shared >= 2 * q AND shared + q >= 24 GROUP BY doc_id, s, shared + q),
+listed AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || length || ',' || period || chr(10), '' ORDER BY s, period) AS list FROM runs GROUP BY doc_id
+),
+best AS (
+  SELECT DISTINCT ON (r.doc_id) r.doc_id, r.s, r.length, r.period FROM runs r
+  WHERE NOT EXISTS (SELECT 1 FROM runs o WHERE o.doc_id = r.doc_id AND o.length * r.period > r.length * o.period) ORDER BY r.doc_id, r.s, r.period
+),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + period, s + length)) AS i FROM runs),
+kept AS (
+  SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS text
+  FROM (SELECT doc_id, unnest(ws) AS w, unnest(range(n)) AS i FROM docs SEMI JOIN runs USING (doc_id)) ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, s AS start, length, period, 1000 * length // period AS exponent_milli,
+       sha256(coalesce(list, '')) AS runs_sha256, sha256(CASE WHEN n_runs IS NULL THEN array_to_string(ws, ' ') ELSE coalesce(kept.text, '') END) AS collapsed_sha256
+FROM docs LEFT JOIN listed USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_license_scan": op2_license_scan,
@@ -238,6 +310,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL: dict[str, str] = {
     "op3_line_dedup": OP3_SQL,
     "op5_exact_dedup": OP5_SQL,
+    "op7_embed_dedup": OP7_SQL,
+    "op10_minhash": OP10_SQL,
     "op11_lexical_search": OP11_SQL,
     "op12_decontaminate": OP12_SQL,
+    "op13_periodic_runs": OP13_SQL,
 }
