@@ -1,3 +1,4 @@
+import json
 import zlib
 from collections import defaultdict
 
@@ -5,11 +6,16 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 from helpers import EDGES, edges, empty
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 from wavelens.llm import packing
 from wavelens.session import stored
 
 PATH = P.path("byte_bpe_50k.tiktoken")
+JSON = P.path("byte_bpe_50k.json")
+ADDED = packing.added_tokens(JSON)
+TRUE = Tokenizer.from_file(JSON)
 
 
 def check_plan(counts, size, plan):
@@ -83,5 +89,34 @@ def test_pieces_and_places_of_edges(spark):
     assert all(len(whole[s]) == sum(n for _, n in p) for s, p in taken.items())
 
 
+END = "<|endoftext|>"
+PARTS = st.sampled_from([END, END[:-1], END[1:], "<|", "|>", " ", "  ", "\n", "\t ", "a", " b", "'s", "12", "é", "日本", "\U0001f642", "\x00"])
+
+
+@settings(max_examples=3000, deadline=None)
+@given(st.lists(PARTS | st.text(max_size=6), max_size=12).map("".join))
+def test_ids_are_those_of_the_tokenizer_file(text):
+    mine = packing.codec(PATH, P.PATTERN, ADDED).encode(text, allowed_special="all")
+    assert mine == TRUE.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("text", [END, END * 3, f"{END}a", f"a{END}", f"a  {END}  b", f"a {END}{END} b", f"<|endof{END}text|>", f"{END[:-1]} {END}"])
+def test_added_tokens_in_every_place(spark, text):
+    docs = spark.createDataFrame([(1, text), (2, text * 900)], "doc_id long, text string")
+    rows = packing.cut_pieces(docs, PATH, P.PATTERN, with_ids=True, added=ADDED).orderBy("doc_id", "piece").collect()
+    for doc, whole in ((1, text), (2, text * 900)):
+        ids = [x for r in rows if r["doc_id"] == doc for x in r["ids"]]
+        assert ADDED[END] in ids and ids == [*TRUE.encode(whole, add_special_tokens=False).ids, 0]
+
+
+def test_rules_of_added_tokens_that_are_not_kept(tmp_path):
+    flags = dict.fromkeys(("single_word", "lstrip", "rstrip", "normalized"), False)
+    for rows in ([{"content": "<a>", "id": 1, **flags, "lstrip": True}], [{"content": x, "id": 1, **flags} for x in ("<a>", "<a><b>")]):
+        file = tmp_path / "own.json"
+        file.write_text(json.dumps({"added_tokens": rows}))
+        with pytest.raises(ValueError, match="added tokens"):
+            packing.added_tokens(str(file))
+
+
 def test_no_rows(spark):
     assert packing.pack_documents(empty(spark), PATH, P.PATTERN).count() == 0

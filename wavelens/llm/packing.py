@@ -20,9 +20,11 @@ fill if there are enough of them.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -39,32 +41,50 @@ from wavelens.session import stored
 SIZE = 2048
 #: What counts as large (above ``size`` divided by this) and the number of groups.
 SCHEMES = ((2, 96), (3, 128), (4, 96), (8, 48))
-_CODECS: dict[tuple[str, str], tiktoken.Encoding] = {}
+_CODECS: dict[tuple, tiktoken.Encoding] = {}
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, nth long"
 
 
-def codec(path: str, pattern: str) -> tiktoken.Encoding:
-    """The worker's tokenizer; special tokens in a text are ordinary text."""
-    if (path, pattern) not in _CODECS:
-        _CODECS[path, pattern] = tiktoken.Encoding(
-            "own", pat_str=pattern, mergeable_ranks=read_ranks(path), special_tokens={}
+def added_tokens(path: str) -> dict[str, int]:
+    """Strings that a tokenizer file (JSON) takes out of a text before all else, with their ids.
+
+    Strings that also take the blanks beside them, stand only between words, or are
+    looked for in normalised text are refused, as are strings that hold one another.
+    """
+    rows = json.loads(Path(path).read_text())["added_tokens"]
+    out = {r["content"]: r["id"] for r in rows}
+    flags = any(r[f] for r in rows for f in ("single_word", "lstrip", "rstrip", "normalized"))
+    if flags or any(a != b and a in b for a in out for b in out):
+        raise ValueError(f"added tokens of {path} need rules that are not kept here")
+    return out
+
+
+def codec(path: str, pattern: str, added: dict[str, int] | None = None) -> tiktoken.Encoding:
+    """The worker's tokenizer; strings of ``added`` become their own ids wherever they occur."""
+    key = (path, pattern, tuple(sorted((added or {}).items())))
+    if key not in _CODECS:
+        _CODECS[key] = tiktoken.Encoding(
+            "own", pat_str=pattern, mergeable_ranks=read_ranks(path), special_tokens=dict(added or {})
         )
-    return _CODECS[path, pattern]
+    return _CODECS[key]
 
 
 def cut_pieces(
-    docs: DataFrame, path: str, pattern: str, size: int = SIZE, end: int = 0, with_ids: bool = False
+    docs: DataFrame, path: str, pattern: str, size: int = SIZE, end: int = 0, with_ids: bool = False,
+    added: dict[str, int] | None = None,
 ) -> DataFrame:
     """Token pieces of ``(doc_id, text)``: every document is its ids and then ``end``.
 
     A document of more than ``size`` ids is cut into pieces of ``size``; only its first
     may be shorter. A null or empty text is the single id ``end``. ``task`` and ``nth``
     number the pieces of one length within a task; ``with_ids`` adds the ids themselves.
+    ``added`` are strings with ids of their own (see ``added_tokens``): the text between
+    them is encoded part by part, as if each part stood alone.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = codec(path, pattern)
+        tokens = codec(path, pattern, added)
         context = TaskContext.get()
         task = context.partitionId() if context else 0
         seen = np.zeros(size + 1, np.int64)
@@ -72,7 +92,7 @@ def cut_pieces(
             for part in slices(batch, "text"):
                 out, ids = [], []
                 for doc, text in zip(*(part.column(i).to_pylist() for i in range(2)), strict=True):
-                    all_ids = np.array([*tokens.encode_ordinary(text or ""), end], "<u4")
+                    all_ids = np.array([*tokens.encode(text or "", allowed_special="all"), end], "<u4")
                     cuts = [0, *range(len(all_ids) % size or size, len(all_ids) + 1, size)]
                     if cuts[-1] != len(all_ids):
                         cuts.append(len(all_ids))
@@ -298,9 +318,11 @@ def pack(pieces: DataFrame, size: int = SIZE) -> DataFrame:
     return arrow_map(ranked, run, f"{fields}, sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, path: str, pattern: str, size: int = SIZE) -> DataFrame:
+def pack_documents(
+    docs: DataFrame, path: str, pattern: str, size: int = SIZE, added: dict[str, int] | None = None
+) -> DataFrame:
     """Pieces of ``(doc_id, text)`` with their places; texts are tokenized once."""
-    return pack(stored(cut_pieces(docs, path, pattern, size), "pieces"), size)
+    return pack(stored(cut_pieces(docs, path, pattern, size, added=added), "pieces"), size)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

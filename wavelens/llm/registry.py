@@ -26,6 +26,7 @@ from wavelens.llm import (
 from wavelens.llm.common import filled, keyed_text, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+ADDED = packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
 SHARDS = [f"shard-{i:03d}" for i in range(256)]
 
 
@@ -85,7 +86,7 @@ FROM texts t LEFT JOIN gone g ON g.doc_id = t.doc_id GROUP BY t.doc_id, t.lines
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces with their places in sequences of 2048 tokens."""
     docs = keyed_text(table(spark, sf_dir, "documents"))
-    return packing.pack_documents(docs, RANKS, public_tokenizers.PATTERN)
+    return packing.pack_documents(docs, RANKS, public_tokenizers.PATTERN, added=ADDED)
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
