@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from wavelens.llm import exact_dedup, langid, minhash, packing, pii
 from wavelens.llm.common import filled, table
-from wavelens.llm.registry import RANKS
+from wavelens.llm.registry import ADDED, RANKS
 from wavelens.session import scratch_path, stored
 
 def _plain(docs: DataFrame) -> tuple[DataFrame, Callable[[str], Column], list[str]]:
@@ -107,7 +107,7 @@ def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null or empty text is one piece of the closing token alone; rows that repeat are
     packed each; other columns are left behind. A table without rows gives no piece.
     """
-    return packing.pack_documents(docs.select("doc_id", "text"), RANKS, public_tokenizers.PATTERN)
+    return packing.pack_documents(docs.select("doc_id", "text"), RANKS, public_tokenizers.PATTERN, added=ADDED)
 
 
 STAGES = [
