@@ -223,3 +223,62 @@ def test_shares_against_plain_counting(spark):
     want = brute_shares(rows)
     assert got.keys() == want.keys() and len(want) >= 4
     assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def brute_pieces(rows, entity, telling):
+    """Shares of terms by pieces of evidence, by plain counting; ``entity`` is an address."""
+    texts = list({t.lower(): t for _, t in rows}.values())
+    split = [[w for w in re.findall(r"[^\W_]{2,}", t.lower().replace(entity, " "))] for t in texts]
+    own = [i for i, t in enumerate(texts) if entity in t.lower()]
+    size = pii.PASSAGE + 1
+    runs = {i: {tuple(split[i][k : k + size]) for k in range(len(split[i]) - size + 1)} for i in own}
+    runs = {i: {r for r in rs if set(r) & telling} for i, rs in runs.items()}
+    up = {i: i for i in own}
+    for _ in own:
+        for i in own:
+            up[i] = min(up[j] for j in own if i == j or runs[i] & runs[j])
+    n_entity, out = len(set(up.values())), {}
+    total = len(texts) - len(own) + n_entity
+    for t in telling:
+        both = len({up[i] for i in own if t in split[i]})
+        n_term = sum(t in s for s in split) - sum(t in split[i] for i in own) + both
+        out[t] = math.log2(both * total / (n_entity * n_term)) / math.log2(total / n_entity) if both > 1 else 0.0
+    return out
+
+
+def test_more_terms_than_a_passage_has_disclose_a_person(spark):
+    """Five rare terms in other words each time, a template with the same address, and a template of its own."""
+    draw = random.Random(3)
+    common = [f"w{i}" for i in range(200)]
+    rare = ["zorblax", "quibbleton", "harpsichord", "1873", "vexford"]
+    rows = []
+    for i in range(12):
+        words = draw.sample(common, 30)
+        for k, term in enumerate(rare):
+            words.insert(2 + 6 * k + draw.randrange(3), term)
+        rows.append((i, " ".join(words) + " me@x.yz"))
+    rows += [(20 + i, f"notice {1000 + i} our spring brochure has arrived write to me@x.yz") for i in range(9)]
+    rows += [(40 + i, f"order {1000 + i} please see the winter catalogue or ask info@acme.com today") for i in range(12)]
+    clean = [(100, "my brochure and your catalogue came in spring"), (101, "Zorblax of Vexford")]
+    rows += [*clean, *((200 + i, " ".join(draw.sample(common, 30))) for i in range(600))]
+    docs = spark.createDataFrame(rows, DOC).repartition(4)
+    got = {(r["entity"], r["term"]): r["share"] for r in pii.disclosures(docs, pii.find(docs)).filter(f"share >= {pii.GENERALISE}").collect()}
+    assert got.keys() == {("email:me@x.yz", t) for t in rare}
+    telling = set(rare) | {"notice", "our", "spring", "brochure", "has", "arrived", "write", "to", *(str(1000 + i) for i in range(9))}
+    want = brute_pieces(rows, "me@x.yz", telling)
+    assert all(abs(share - want[t]) < 1e-9 for (_, t), share in got.items()) and want["brochure"] == 0
+    after = {r["doc_id"]: r["text"] for r in pii.sanitise(docs).collect()}
+    assert not any(t in after[i] for i in range(12) for t in rare) and after[100] == clean[0][1]
+    assert "zorblax" not in after[101].lower() and all("brochure" in after[20 + i] for i in range(9))
+
+
+def test_pieces_of_evidence(spark):
+    """Documents linked through a third one are one piece; short ones are pieces of their own."""
+    texts = [(1, "aa bb cc t1 dd".split()), (2, "bb cc t1 dd ee t2 ff gg".split()), (3, "xx ee t2 ff gg".split()), (4, ["t1", "t2"]), (5, ["t1"])]
+    df = spark.createDataFrame([(d, w, ["e", "f"]) for d, w in texts], "doc long, words array<string>, entities array<string>")
+    telling = spark.createDataFrame([("e", "t1"), ("e", "t2"), ("f", "t2"), ("f", "gg")], "entity string, term string")
+    of_entity, of_pair = pii.pieces(df, telling)
+    assert {tuple(r) for r in of_entity.collect()} == {("e", 3), ("f", 4)}
+    assert {tuple(r) for r in of_pair.collect()} == {("e", "t1", 3), ("e", "t2", 2), ("f", "t2", 2), ("f", "gg", 1)}
+    plan = of_pair._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))

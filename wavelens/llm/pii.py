@@ -6,8 +6,9 @@ frequencies of whole texts as probabilities, copies (but for letter case) counte
 ``IC(e) = -log2 p(e)``, and what a term ``t`` tells about it is the pointwise mutual
 information ``PMI(e, t) = log2(p(e, t) / (p(e) p(t)))``, at most ``IC(e)``. A term whose share
 ``PMI / IC`` reaches a threshold discloses ``e``, if the lower confidence bound of the PMI
-over all pairs that meet anywhere is above zero and no whole passage goes with ``e``: it is generalised from ``GENERALISE`` on and removed from ``REMOVE`` on,
-in all documents, whether or not they hold ``e``.
+over all pairs that meet anywhere is above zero: it is generalised from ``GENERALISE`` on and removed from ``REMOVE`` on,
+in all documents, whether or not they hold ``e``. Where many terms would disclose one
+entity, documents that share a passage around them count as one, as copies do.
 
 Everything is DataFrame functions. A match's place follows from the lengths of the pieces
 between matches, as the patterns never overlap themselves.
@@ -21,7 +22,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wavelens.llm.common import among, filled
+from wavelens.llm.common import among, filled, salted_join
+from wavelens.llm.components import components_by_joins
 from wavelens.llm.line_dedup import fixed_array
 from wavelens.session import stored
 
@@ -30,8 +32,9 @@ RISK = 0.05
 #: Shares of an entity's information content.
 GENERALISE = 0.6
 REMOVE = 0.9
-#: Terms that may disclose one entity. Where more do, its documents share a passage (a template, or copies with
-#: small changes): that is one piece of evidence, however often it comes, and tells no term from another.
+#: Terms that disclose one entity without a further look, and that a name may have. More in a row, one of which would
+#: disclose the entity, are a passage (of a template, or of copies with small changes): documents that share one are one
+#: piece of evidence, however many they are, and one piece tells none of its terms from another.
 PASSAGE = 3
 #: Slots of the filter that terms pass before they meet the risky ones, and salts of that join.
 FILTER_BITS = 20
@@ -164,18 +167,30 @@ def copies(docs: DataFrame) -> DataFrame:
     return stored(docs.select(*_copy_key(filled())).groupBy("key", "check").agg(F.count(F.lit(1)).alias("n")), "copies")
 
 
+def _own_words(spans: str | None = "spans") -> Column:
+    """Terms of ``text`` outside its spans, in its order."""
+    return _terms(filled() if spans is None else outside(filled(), F.col(spans)))
+
+
 def _own_terms(spans: str | None = "spans") -> Column:
     """Distinct terms of ``text`` outside its spans."""
-    return F.array_distinct(_terms(filled() if spans is None else outside(filled(), F.col(spans))))
+    return F.array_distinct(_own_words(spans))
+
+
+def entity_texts(found: DataFrame) -> DataFrame:
+    """``(doc, words, entities)`` of each text that holds personal data, copies once.
+
+    ``words`` are its terms in their order, ``entities`` are distinct, ``doc`` is a number of the text.
+    """
+    rows = found.select(filled().alias("text"), "spans", *_copy_key(filled()))
+    once = rows.groupBy("key", "check").agg(F.any_value(F.struct("text", "spans")).alias("doc")).select("key", "check", "doc.*")
+    entities = F.array_distinct(F.transform("spans", lambda s: entity(s["kind"], s["value"])))
+    return once.select(F.xxhash64("key", "check").alias("doc"), _own_words().alias("words"), entities.alias("entities"))
 
 
 def entity_documents(found: DataFrame) -> DataFrame:
     """``(terms, entities)``, both distinct, of each text that holds personal data, copies once."""
-    rows = found.select(filled().alias("text"), "spans", *_copy_key(filled()))
-    once = rows.groupBy("key", "check").agg(F.any_value(F.struct("text", "spans")).alias("doc")).select("doc.*")
-    return once.select(
-        _own_terms().alias("terms"), F.array_distinct(F.transform("spans", lambda s: entity(s["kind"], s["value"]))).alias("entities")
-    )
+    return entity_texts(found).select(F.array_distinct("words").alias("terms"), "entities")
 
 
 def term_counts(docs: DataFrame, found: DataFrame, groups: DataFrame) -> DataFrame:
@@ -198,6 +213,20 @@ def _terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
 
 
+def _is_rare(n_both: Column, n_entity: Column, n_term: Column, total: Column, least: float) -> Column:
+    """Whether a pair meets more often than by accident, by bounds of the Poisson tail."""
+    chance = n_entity * n_term / total
+    rest = F.greatest(chance, F.log(2 * math.pi * n_both) / 2)  # Chernoff; Stirling under chance^n / n!
+    return (n_both > chance) & (n_both * F.log(n_both / chance) - n_both + rest >= least)
+
+
+def _share(n_both: Column, n_entity: Column, n_term: Column, total: Column, least: float) -> Column:
+    """Share of an entity's information content that a term tells; 0 where they may meet by accident."""
+    content = F.log2(total / n_entity)
+    told = F.log2(n_both * total / (n_entity * n_term)) / content
+    return F.when((content > 0) & _is_rare(n_both, n_entity, n_term, total, least), told).otherwise(0.0)
+
+
 def disclosures(docs: DataFrame, found: DataFrame, risk: float = RISK) -> DataFrame:
     """``(entity, term, share)`` for all terms that may disclose an entity.
 
@@ -206,35 +235,78 @@ def disclosures(docs: DataFrame, found: DataFrame, risk: float = RISK) -> DataFr
     lower bound of its PMI is above zero if meeting ``n_both`` times or more (by bounds of
     the Poisson tail) is rarer than ``risk`` dealt out to all pairs that meet, else the
     share is 0. Pairs that miss that even at the least ``n_term``, ``n_both``, are left out.
+    Of an entity that more than ``PASSAGE`` terms would disclose, these are counted again,
+    by pieces of evidence.
     """
     groups = copies(docs)
-    total = float(groups.count())
-    held = stored(entity_documents(found), "entity-documents").select(F.explode("entities").alias("entity"), "terms")
+    total = groups.count()
+    texts = stored(entity_texts(found), "entity-documents")
+    held = texts.select(F.explode("entities").alias("entity"), F.array_distinct("words").alias("terms"))
     of_entity = held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
     pairs = held.select("entity", F.explode("terms").alias("term"))
     both = stored(pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")), "both")
     least = math.log(max(both.count(), 1) / risk)
-
-    def rare(n_term: Column) -> Column:
-        chance = F.col("n_entity") * n_term / F.lit(total)
-        rest = F.greatest(chance, F.log(2 * math.pi * F.col("n_both")) / 2)  # Chernoff; Stirling under chance^n / n!
-        surprise = F.col("n_both") * F.log(F.col("n_both") / chance) - F.col("n_both") + rest
-        return (F.col("n_both") > chance) & (surprise >= least)
-
-    joint = stored(both.join(of_entity, "entity").filter(rare(F.col("n_both"))), "joint")
+    every = F.lit(float(total))
+    n_both, n_entity, n_term = F.col("n_both"), F.col("n_entity"), F.col("n_term")
+    joint = stored(both.join(of_entity, "entity").filter(_is_rare(n_both, n_entity, n_both, every, least)), "joint")
     # an inner join stays above the aggregate
     of_term = term_counts(docs, found, groups).join(joint.select("term").distinct(), "term")
-    pmi = F.log2(F.col("n_both") * F.lit(total) / (F.col("n_entity") * F.col("n_term")))
-    content = F.log2(F.lit(total) / F.col("n_entity"))
-    share = F.when((content > 0) & rare(F.col("n_term")), pmi / content).otherwise(0.0)
-    return _without_passages(stored(joint.join(of_term, "term").select("entity", "term", share.alias("share")), "shares"))
+    counted = joint.join(of_term, "term").withColumn("share", _share(n_both, n_entity, n_term, every, least))
+    return _by_pieces(stored(counted, "shares"), texts, total, least)
 
 
-def _without_passages(pairs: DataFrame) -> DataFrame:
-    """``pairs`` with share 0 for entities that more than ``PASSAGE`` terms would disclose."""
-    together = pairs.filter(F.col("share") >= GENERALISE).groupBy("entity").agg(F.count(F.lit(1)).alias("together"))
-    share = F.when(F.col("together") > PASSAGE, 0.0).otherwise(F.col("share"))
-    return pairs.join(together, "entity", "left").select("entity", "term", share.alias("share"))
+def _by_pieces(pairs: DataFrame, texts: DataFrame, total: int, least: float) -> DataFrame:
+    """``(entity, term, share)``; the terms of entities with more than ``PASSAGE`` are counted by pieces of evidence.
+
+    The documents of a piece count as one in every number, as copies do, and a term of one
+    piece alone has share 0, as nothing tells it from the others there.
+    """
+    plain = pairs.select("entity", "term", "share")
+    telling = pairs.filter(F.col("share") >= GENERALISE)
+    many = telling.groupBy("entity").agg(F.count(F.lit(1)).alias("together")).filter(F.col("together") > PASSAGE)
+    crowd = stored(telling.join(many.select("entity"), "entity"), "crowd")
+    if crowd.isEmpty():
+        return plain
+    of_entity, of_pair = pieces(texts, crowd.select("entity", "term"))
+    counted = crowd.join(of_entity, "entity").join(of_pair, ["entity", "term"])
+    fewer_both, fewer = F.col("n_both") - F.col("pair_pieces"), F.col("n_entity") - F.col("entity_pieces")
+    share = _share(F.col("pair_pieces"), F.col("entity_pieces"), F.col("n_term") - fewer_both, F.lit(float(total)) - fewer, least)
+    settled = F.when(F.col("pair_pieces") > 1, share).otherwise(0.0)
+    again = counted.select("entity", "term", settled.alias("again"))
+    return plain.join(again, ["entity", "term"], "left").select("entity", "term", F.coalesce("again", "share").alias("share"))
+
+
+def pieces(texts: DataFrame, telling: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(entity, entity_pieces)`` and ``(entity, term, pair_pieces)``: pieces of evidence.
+
+    ``texts`` are those of ``entity_texts``, ``telling`` the different ``(entity, term)`` in
+    question. Documents of an entity are one piece if they share a passage, more than
+    ``PASSAGE`` words in a row with one of its terms among them, or are linked by such.
+    """
+    node = F.xxhash64("entity", "doc").alias("node")
+    rows = texts.select("doc", "words", F.explode("entities").alias("entity")).join(telling.select("entity").distinct(), "entity")
+    size = PASSAGE + 1
+    starts = F.sequence(F.lit(1), F.size("words") - PASSAGE)
+    passages = F.when(F.size("words") >= size, F.transform(starts, lambda i: F.xxhash64(F.slice("words", i, F.lit(size)))))
+    marked = rows.select("entity", node, F.coalesce(passages, F.array().cast("array<long>")).alias("passages"), "words")
+    placed = marked.select("entity", "node", "passages", F.posexplode("words").alias("at", "term")).filter(_listed(telling)(F.col("term")))
+    first = F.greatest(F.lit(0), F.col("at") - PASSAGE)
+    around = F.slice("passages", first + 1, F.col("at") + 1 - first)  # those that begin no later than the word
+    pair = F.struct("entity", "term").alias("pair")
+    spots = placed.select(pair, "node", around.alias("passages"))
+    spots = stored(salted_join(spots, telling.select(pair), "pair", "node"), "crowd-spots")
+    shared = spots.select("node", "pair.entity", F.explode("passages").alias("passage"))
+    shared = shared.select("node", F.xxhash64("entity", "passage").alias("passage"))
+    shared = stored(shared.distinct(), "crowd-passages")
+    least = shared.groupBy("passage").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    links = components_by_joins(salted_join(shared, least, "passage", "node"), "node", "least")
+    piece = F.coalesce("component", "node").alias("piece")
+    of_entity = rows.select("entity", node).join(links, "node", "left").select("entity", piece)
+    of_pair = spots.select("pair", "node").distinct().join(links, "node", "left").select("pair", piece)
+    return (
+        of_entity.groupBy("entity").agg(F.count_distinct("piece").alias("entity_pieces")),
+        of_pair.groupBy("pair").agg(F.count_distinct("piece").alias("pair_pieces")).select("pair.*", "pair_pieces"),
+    )
 
 
 def _listed(risky: DataFrame) -> Callable[[Column], Column]:
