@@ -112,3 +112,31 @@ def test_gold_and_results(spark, layout):
     assert [tuple(r) for r in levels] == [("Júnior", "20", "33.3"), ("Pleno", "20", "33.3"), ("Sênior", "20", "33.3")]
     ranked = spark.read.option("header", True).csv(layout.result("perfis_valorizados_atual"))
     assert ranked.count() == 0
+
+
+def test_jobs_over_all_columns_use_no_method_too_long_to_compile(spark, tmp_path, monkeypatch):
+    from wavelens.plans import gold_once, increment
+    from wavelens.session import METHOD_CONF
+
+    before, seen = spark.conf.get(METHOD_CONF), {}
+
+    def noting(module, name):
+        run = getattr(module, name)
+
+        def noted(df, *args, **kwargs):
+            seen.setdefault(args[0].split("/")[-1], set()).add(spark.conf.get(METHOD_CONF))
+            return run(df, *args, **kwargs)
+
+        monkeypatch.setattr(module, name, noted)
+
+    noting(increment.writers, "write_table")
+    noting(increment.writers, "write_wave")
+    noting(gold_once, "stored")
+    raw = tmp_path / "raw.csv"
+    raw.write_text("2.f_Cargo Atual,2.g_Nível\nnão,Pleno\nnÃ£o,Júnior\n,\n", encoding="utf-8")
+    layout = increment.Layout(str(tmp_path / "lake"))
+    increment.update(spark, layout, {"2024-2025": str(raw)}, styles={"2024-2025": "dotted"}, aliases={})
+    assert {k: seen[k] for k in ("2024-2025", "silver", "all-counts")} == dict.fromkeys(("2024-2025", "silver", "all-counts"), {"8000"})
+    assert spark.conf.get(METHOD_CONF) == before != "8000"
+    rows = spark.read.parquet(layout.silver).collect()
+    assert sorted((r["cargo_atual"] or "", r["nivel"] or "") for r in rows) == [("", ""), ("não", "Júnior"), ("não", "Pleno")]

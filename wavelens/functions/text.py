@@ -40,10 +40,11 @@ def repair_mojibake(text: Column) -> Column:
     """Undo UTF-8 read as Latin-1 (``nÃ£o`` -> ``não``); anything else is unchanged.
 
     Only text made of Latin-1 characters can be such damage, and it is damage
-    only if its Latin-1 bytes are valid UTF-8.
+    only if its Latin-1 bytes are valid UTF-8. Plain ASCII, told by its length in bytes,
+    never is.
     """
     as_bytes = F.encode(text, "ISO-8859-1").cast("string")
-    return F.when(
+    return F.when(F.octet_length(text) == F.length(text), text).when(
         text.rlike(r"\A[\x00-\xFF]*\z"), F.coalesce(F.try_validate_utf8(as_bytes), text)
     ).otherwise(text)
 

@@ -20,7 +20,7 @@ from wavelens.operators.distribution import join_base
 from wavelens.operators.standardize import union_all_by_name
 from wavelens.plans import fixed_values as v
 from wavelens.plans.gold import ADOPTION_NAMES, DISTRIBUTION_NAMES, TABLES
-from wavelens.session import stored
+from wavelens.session import small_methods, stored
 
 WAVE = "edicao"
 #: Variables and dimensions of the distribution tables.
@@ -127,7 +127,8 @@ def all_tables(silver: DataFrame) -> dict[str, DataFrame]:
     responses have no question is built alone, empty.
     """
     asked = questions(silver.columns, silver)
-    counts = stored(count_everything(silver, asked), "all-counts") if asked else None
+    with small_methods(silver.sparkSession):
+        counts = stored(count_everything(silver, asked), "all-counts") if asked else None
     out = {}
     for table, build in TABLES.items():
         parts = []

@@ -26,7 +26,7 @@ from wavelens.plans import fixed_values as v
 from wavelens.plans.flow import PARTITION, ROW_ID, WAVE, Layout
 from wavelens.plans.gold import TABLES
 from wavelens.plans.gold_once import ADOPTIONS, all_tables
-from wavelens.session import header_table
+from wavelens.session import header_table, small_methods
 from wavelens.sources import readers, writers
 
 ENTRY = "wave string, fingerprint string, columns array<string>, mapping map<string,string>"
@@ -86,8 +86,9 @@ def fingerprints(spark: SparkSession, raw: Mapping[str, str]) -> dict[str, str]:
 
 def stage(spark: SparkSession, layout: Layout, wave: str, raw: str, style: str, aliases: Sequence, fixes: Mapping | None) -> None:
     """Write a wave under its normalised names; its null dictionary comes from the same job."""
-    out, profile = ProfileOnWrite.of(standardize(readers.read_wave(spark, raw), style, aliases, fixes))
-    writers.write_table(out, layout.staging(wave))
+    with small_methods(spark):
+        out, profile = ProfileOnWrite.of(standardize(readers.read_wave(spark, raw), style, aliases, fixes))
+        writers.write_table(out, layout.staging(wave))
     writers.write_wave(profile.null_dictionary(spark, wave), _nulls(layout), wave, "part")
 
 
@@ -165,7 +166,8 @@ def update(
     for wave in changed:
         staged = readers.read_staging(spark, layout.staging(wave))
         rows = with_row_id(conform(staged, mapped[wave], sorted(mapped[wave])), ROW_ID)
-        writers.write_wave(rows, layout.silver, wave, PARTITION)
+        with small_methods(spark):
+            writers.write_wave(rows, layout.silver, wave, PARTITION)
     canonical = sorted(set().union(*mapped.values()))
     entries = {
         w: Entry(prints[w] if w in new else done[w].fingerprint, list(columns[w]), mapped[w]) for w in columns

@@ -13,7 +13,7 @@ from wavelens.plans.flow import Layout
 from wavelens.plans.gold import TABLES
 from wavelens.registry.core import register
 from wavelens.registry.results import GOLD_SQL
-from wavelens.session import scratch_path, stored
+from wavelens.session import scratch_path, small_methods, stored
 
 #: Questions of the raw waves: code and label by the name they are harmonised to.
 SINGLE = {
@@ -37,7 +37,8 @@ ALL_SQL = " UNION ALL BY NAME ".join(f"SELECT '{name}' AS tabela, * FROM ({sql})
 
 def everybody(s, d) -> DataFrame:
     """Respondents with all their answers, stored."""
-    return stored(tv.view(s, d, EVERYTHING), "everybody")
+    with small_methods(s):
+        return stored(tv.view(s, d, EVERYTHING), "everybody")
 
 
 def tagged(tables: dict[str, DataFrame]) -> DataFrame:

@@ -6,12 +6,16 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+METHOD_CONF = "spark.sql.codegen.hugeMethodLimit"
+#: Bytes of a method above which the JVM never compiles it.
+METHOD_BYTES = 8000
 
 
 def local_session(app: str = "wavelens", cores: str = "*", **conf: str) -> SparkSession:
@@ -73,6 +77,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_methods(spark: SparkSession) -> Iterator[None]:
+    """Jobs run meanwhile use no generated method so long that the JVM would only interpret it.
+
+    For jobs over all columns of a wide table: by default Spark keeps such methods up to
+    eight times that length, and they are slower than the stages it takes instead.
+    """
+    before = spark.conf.get(METHOD_CONF)
+    spark.conf.set(METHOD_CONF, str(min(int(before), METHOD_BYTES)))
+    try:
+        yield
+    finally:
+        spark.conf.set(METHOD_CONF, before)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder so that later rounds start from files."""
     spark = df.sparkSession
