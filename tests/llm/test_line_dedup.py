@@ -58,6 +58,21 @@ def test_texts_without_the_lines(spark):
     assert {r["doc_id"]: r["text"] for r in got} == {1: f"{line}\nkeep", 2: "first\nlast", 3: None}
 
 
+def test_a_group_of_near_copies_does_not_make_all_its_pairs(spark, monkeypatch):
+    made, stored = [], ld.stored
+
+    def counted(df, name):
+        out = stored(df, name)
+        made.append(out.count() if name == "line-pairs" else 0)
+        return out
+
+    monkeypatch.setattr(ld, "stored", counted)
+    words = [f"word{i}" for i in range(20)]
+    rows = [(i, " ".join([*words[: i % 20], f"other{i}", *words[i % 20 + 1 :]])) for i in range(60)]
+    assert found(ld.report(spark.createDataFrame(rows, DOC))) == brute(rows)
+    assert 59 <= sum(made) < 10 * len(rows)  # all pairs are 1,770
+
+
 def test_no_rows(spark):
     assert ld.report(empty(spark)).count() == 0
 

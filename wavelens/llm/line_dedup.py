@@ -1,17 +1,21 @@
 """Near-duplicate lines by an exact set-similarity join, in DataFrame functions alone.
 
-A line is the set of its words. All sets are sorted by one global order, rare words
-first, so that two sets of Jaccard similarity ``t`` must share one of the first
-``n - ceil(t n) + 1`` words of each (prefix filter). A shared word only makes a pair if
-the sizes are within a factor ``t`` of each other (length filter) and the words left
-after it could still make up the overlap (positional filter). A set's words also switch
-bits of a 64-bit mask; as every bit in which two masks differ is a word that only one
-set has, masks too far apart rule a pair out as well. What remains is verified on the
-whole sets, and a line goes if any earlier line matches it.
-
-Words are their 63-bit hashes. The order goes by how often words of the same slot (the
-top bits of the hash) occur in the corpus: the slots' ranks are one array of fixed size,
-and replacing the slot by its rank keeps hashes apart.
+A line is the set of its words. All sets are sorted by one global order, long words first,
+as these are mostly the rare ones. Neighbours in that order are a set's keys: a word that
+only one of two sets has breaks at most two keys of that set and one of the other, so two
+sets of Jaccard similarity ``t`` must share one of the first ``2 (1 - t) n + 1`` keys of each
+(prefix filter; below ``PAIRS_FROM`` percent, keys are single words). Sets that share a key
+only make a pair if their sizes are within a factor ``t`` of each other (length filter). A
+set's words also switch bits of a 64-bit mask; as every bit in which two masks differ is a
+word that only one set has, masks too far apart rule a pair out as well. What remains is
+verified on the whole sets, and a line goes if any earlier line matches it.
+
+Members of a group of sets with the same key are first compared with its earliest, the
+leader, and with the one before them. Only sets that go by none of these are compared with
+all earlier members of their groups, so a large group of near copies does not make all its
+pairs.
+
+A word is 56 bits of its hash and its length.
 """
 
 from __future__ import annotations
@@ -19,25 +23,21 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wavelens.llm.common import filled
-from wavelens.session import stored
+from wavelens.llm.common import among, filled
+from wavelens.session import discard, shuffles_dropped, stored
 
 PERCENT = 80
 #: Lines without a word always stay.
 MIN_WORDS = 1
-SLOT_BITS = 13
-_LOW_BITS = 63 - SLOT_BITS
-#: Slots of the filter that finds the documents of candidate lines again.
-FILTER_BITS = 20
-
-
-def words(line: Column) -> Column:
-    """Hashes of the words between ASCII blanks, 63 bits each."""
-    blanks = F.translate(line, "\t\x0b\x0c\r", "    ")
-    parts = F.filter(F.split(blanks, " "), lambda w: w != "")
-    return F.transform(parts, lambda w: F.xxhash64(w).bitwiseAND(F.lit((1 << 63) - 1)))
+#: From this percentage on two neighbouring words make a key; below, too many keys could break.
+PAIRS_FROM = 67
+#: Bits of an id that hold its set's size, as far as they go.
+SIZE_BITS = 9
+_HASH_BITS = 56
+_PLACE = ("unknown", "doc_id", "h", "line")
 
 
 def fixed_array(numbers: list[int], kind: str) -> Column:
@@ -45,120 +45,133 @@ def fixed_array(numbers: list[int], kind: str) -> Column:
     return F.from_json(F.lit(json.dumps(numbers)), f"array<{kind}>")
 
 
-def slot_ranks(docs: DataFrame) -> Column:
-    """Rank of every slot by how many words of the corpus fall into it."""
-    found = words(F.translate(filled(), "\n", " "))
-    slots = docs.select(F.explode(F.transform(found, lambda h: F.shiftright(h, _LOW_BITS).cast("int"))).alias("slot"))
-    counts = {r["slot"]: r["n"] for r in slots.groupBy("slot").agg(F.count(F.lit(1)).alias("n")).collect()}
-    order = sorted(range(1 << SLOT_BITS), key=lambda s: (counts.get(s, 0), s))
-    ranks = [0] * len(order)
-    for rank, slot in enumerate(order):
-        ranks[slot] = rank
-    return fixed_array(ranks, "int")
-
-
-def by_rarity(hashes: Column, ranks: Column) -> Column:
-    """Distinct words, the rarest first; a bijection of the hashes."""
-    low = F.lit((1 << _LOW_BITS) - 1)
+def _word(word: Column) -> Column:
+    return F.shiftleft(F.octet_length(word).cast("long"), _HASH_BITS).bitwiseXOR(
+        F.shiftrightunsigned(F.xxhash64(word), 64 - _HASH_BITS)
+    )
 
-    def moved(h: Column) -> Column:
-        rank = F.element_at(ranks, F.shiftright(h, _LOW_BITS).cast("int") + 1).cast("long")
-        return F.shiftleft(rank, _LOW_BITS).bitwiseOR(h.bitwiseAND(low))
 
-    return F.sort_array(F.transform(F.array_distinct(hashes), moved))
+def words(line: Column) -> Column:
+    """Distinct words between spaces, the longest first."""
+    found = F.array_distinct(F.transform(F.split(line, " "), _word))
+    return F.array_remove(F.sort_array(found, asc=False), _word(F.lit("")))
 
 
-def line_sets(docs: DataFrame, ranks: Column, min_words: int) -> DataFrame:
-    """``(doc_id, h, line, tokens)`` of all lines with enough words.
+def _lines(docs: DataFrame) -> DataFrame:
+    """``(unknown, doc_id, h, line, text)`` of all lines, other ASCII blanks in them made spaces.
 
     ``h`` is a hash of the text, which tells rows of one ``doc_id`` apart.
     """
-    lines = docs.select(
-        "doc_id", F.xxhash64(filled()).alias("h"), F.posexplode(F.split(filled(), "\n")).alias("line", "text")
-    )
-    return lines.select("doc_id", "h", "line", by_rarity(words(F.col("text")), ranks).alias("tokens")).filter(
-        F.size("tokens") >= min_words
+    blanks = F.when(filled().rlike("[\t\x0b\x0c\r]"), F.translate(filled(), "\t\x0b\x0c\r", "    ")).otherwise(filled())
+    return docs.select(
+        F.col("doc_id").isNull().alias("unknown"), "doc_id", F.xxhash64(filled()).alias("h"),
+        F.posexplode(F.split(blanks, "\n")).alias("line", "text"),
     )
 
 
-def _key() -> list[Column]:
-    return [F.xxhash64("tokens").alias("a"), F.xxhash64("tokens", F.lit(1)).alias("b")]
-
-
-def prefix_size(n: Column, percent: int) -> Column:
-    return n - F.floor((n * percent + 99) / 100).cast("int") + 1
-
-
 def _mask(tokens: Column) -> Column:
     """64 bits, each switched by every word whose hash picks it."""
     return F.aggregate(
         tokens, F.lit(0).cast("long"),
-        lambda bits, t: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), (t % 64).cast("int"))),
+        lambda bits, t: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))),
     )
 
 
-def line_classes(lines: DataFrame, percent: int) -> DataFrame:
-    """One row per distinct set ``(a, b)``: its first place, size, prefix and mask.
+def keys(tokens: Column, percent: int) -> Column:
+    """Hashes of the first keys of a set, so many that sets alike share one.
 
-    Partial aggregation leaves one row per task of a line that many documents share.
+    Of ``n`` words at most ``x`` are missing in a set alike and ``y`` others in it, where
+    ``100 x + percent y <= (100 - percent) n``. Sets so small that one more word already
+    makes them too different only match equal sets and have none.
     """
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "h", "line")).alias("first")
-    n = F.size("tokens")
-    facts = F.struct(
-        n.alias("n"), _mask(F.col("tokens")).alias("mask"),
-        F.slice("tokens", F.lit(1), prefix_size(n, percent)).alias("prefix"),
-    )
-    rows = lines.select(*_key(), "doc_id", "h", "line", facts.alias("facts"))
-    return rows.groupBy("a", "b").agg(first, F.count(F.lit(1)).alias("copies"), F.any_value("facts").alias("facts")).select(
-        "a", "b", "first", "copies", "facts.*"
+    n = F.size(tokens)
+    able = n * 100 >= (n + 1) * percent
+    if percent < PAIRS_FROM:
+        count = n - F.floor((n * percent + 99) / 100).cast("int") + 1
+        return F.transform(F.slice(tokens, F.lit(1), F.when(able, count).otherwise(0)), lambda t: F.hash(t))
+    count = F.when(able, F.floor(n * (100 - percent) * 2 / 100).cast("int") + 1).otherwise(0)
+    return F.zip_with(F.slice(tokens, F.lit(1), count), F.slice(tokens, F.lit(2), count), lambda s, t: F.hash(s, t))
+
+
+def line_sets(docs: DataFrame, percent: int) -> DataFrame:
+    """``(id, place..., a, b, n, mask, keys)`` of all lines; ``a, b`` are equal for equal sets."""
+    sets = _lines(docs).select(*_PLACE, words(F.col("text")).alias("tokens"))
+    t = F.col("tokens")
+    n = F.size(t)
+    found = sets.select(
+        *_PLACE, F.xxhash64(t).alias("a"), F.xxhash64(t, F.lit(1)).alias("b"), n.alias("n"), _mask(t).alias("mask"),
+        keys(t, percent).alias("keys"),
     )
+    size = F.least("n", F.lit((1 << SIZE_BITS) - 1))
+    return found.select((F.shiftleft(F.monotonically_increasing_id(), SIZE_BITS) + size).alias("id"), *found.columns)
 
 
-def candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``(id1, id2)`` that pass the prefix, length, positional and mask filters.
+def line_classes(lines: DataFrame) -> DataFrame:
+    """One row per distinct set: the id, place and keys of its first line, and how many it has.
 
-    Sets so small that one more word already makes them too different only match equal
-    sets, which are of the same class, so they need no join.
+    Partial aggregation leaves one row per task of a line that many documents share.
     """
-    place = F.posexplode("prefix").alias("pos", "token")
-    able = classes.filter(F.col("n") * 100 >= (F.col("n") + 1) * percent)
-    entries = able.select("id", "n", "mask", place)
-    left, right = (
-        entries.select("token", *(F.col(c).alias(f"{c}{i}") for c in ("id", "n", "mask", "pos"))) for i in (1, 2)
+    first = F.min(F.struct(*_PLACE, "id")).alias("first")
+    grouped = lines.groupBy("a", "b").agg(
+        first, F.count(F.lit(1)).alias("copies"), F.any_value(F.struct("n", "mask", "keys")).alias("facts")
     )
-    ordered = (F.col("n1") < F.col("n2")) | ((F.col("n1") == F.col("n2")) & (F.col("id1") < F.col("id2")))
-    both = F.col("n1") + F.col("n2")
-    length = F.col("n1") * 100 >= F.col("n2") * percent
-    reach = F.least(F.col("n1") - F.col("pos1"), F.col("n2") - F.col("pos2"))  # this word and all after it
-    apart = F.bit_count(F.col("mask1").bitwiseXOR(F.col("mask2")))
-    most = F.least(2 * reach, both - apart)  # twice the largest overlap still possible
-    found = left.join(right, "token").filter(ordered & length & (most * (100 + percent) >= 2 * both * percent))
-    return found.select("id1", "id2").distinct()
-
-
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose whole sets have the similarity, with the places of both."""
-    one, two = (sets.select(*(F.col(c).alias(f"{c}{i}") for c in ("id", "first", "tokens"))) for i in (1, 2))
+    return grouped.select("first.id", "a", "b", F.col("first").dropFields("id").alias("first"), "copies", "facts.*")
+
+
+def ranked(classes: DataFrame) -> DataFrame:
+    """``(id, mask, rank)``: ``rank`` follows the first places."""
+    placed = classes.select("id", "mask", "first").orderBy("first")
+    return placed.select("id", "mask", F.monotonically_increasing_id().alias("rank"))
+
+
+def alike(classes: DataFrame, ranks: DataFrame) -> DataFrame:
+    """``(id, key, members, mask, rank)`` of the sets that share a key with others."""
+    entries = classes.select(F.explode("keys").alias("key"), "id").repartition("key")
+    groups = entries.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    return entries.join(groups.hint("shuffle_hash"), "key").join(ranks, "id")
+
+
+def _near(x: str, y: str, percent: int) -> Column:
+    """Whether sizes and masks of two rows of ``alike`` leave it open that the sets match."""
+    n, m = (F.col(f"{r}.id").bitwiseAND((1 << SIZE_BITS) - 1) for r in (x, y))
+    length = F.least(n, m) * 100 >= F.greatest(n, m) * percent
+    apart = F.bit_count(F.col(f"{x}.mask").bitwiseXOR(F.col(f"{y}.mask")))
+    cut = F.greatest(n, m) == (1 << SIZE_BITS) - 1
+    return length & (cut | ((n + m - apart) * (100 + percent) >= 2 * (n + m) * percent))
+
+
+def led(shared: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(id1, id2)`` of members of a key with its leader and with the member before them, filtered."""
+    before = W.partitionBy("key").orderBy("rank")
+    one = F.struct("id", "mask")
+    found = shared.select("id", "mask", F.first(one).over(before).alias("first"), F.lag(one).over(before).alias("last"))
+    found = found.select("id", "mask", F.explode(F.array("first", "last")).alias("x")).alias("y").filter(F.col("x.id") != F.col("y.id"))
+    return found.filter(_near("x", "y", percent)).select(F.col("x.id").alias("id1"), F.col("y.id").alias("id2")).distinct()
+
+
+def others(shared: DataFrame, gone: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(id1, id2)`` of earlier members and later ones that are not ``gone``."""
+    rest = shared.filter("members > 2").select("key", "id", "mask", "rank")
+    found = rest.join(gone, "id", "left_anti").alias("y").join(rest.alias("x"), "key").filter(F.col("x.rank") < F.col("y.rank"))
+    return found.filter(_near("x", "y", percent)).select(F.col("x.id").alias("id1"), F.col("y.id").alias("id2")).distinct()
+
+
+def matched(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """``id`` of every later set of ``pairs`` (``id2``) that the earlier one matches, by their whole sets."""
+    ids = pairs.select(F.explode(F.array("id1", "id2")).alias("id")).distinct()
+    ends = stored(classes.select("id", "first").join(ids, "id", "left_semi").select("id", "first.*"), "line-ends")
+    doc, place = F.xxhash64("doc_id"), F.xxhash64("doc_id", "h", "line")
+    near = among(docs.withColumn("key", doc), ends.select(doc.alias("key"))).select("doc_id", "text")
+    texts = among(_lines(near).withColumn("key", place), ends.select(place.alias("key")))
+    named = ends.select("id", *(F.col(c).alias(f"_{c}") for c in _PLACE))
+    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("h") == F.col("_h")) & (F.col("line") == F.col("_line"))
+    sets = texts.join(named, same).select("id", words(F.col("text")).alias("tokens"))
+    sets = stored(sets.groupBy("id").agg(F.any_value("tokens").alias("tokens")), "line-sets")
+    one, two = (sets.select(*(F.col(c).alias(f"{c}{i}") for c in sets.columns)) for i in (1, 2))
     both = pairs.join(one, "id1").join(two, "id2")
     common = F.size(F.array_intersect("tokens1", "tokens2"))
-    return both.filter(common * (100 + percent) >= (F.size("tokens1") + F.size("tokens2")) * percent)
-
-
-def holding(docs: DataFrame, named: DataFrame) -> DataFrame:
-    """Documents whose ``doc_id`` may be among those of ``named``.
-
-    A bit per slot of the hash, in an array of fixed size, spares most other documents
-    the work and the way over the network; what it lets through is checked later.
-    """
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS)).cast("int")
-    bits = named.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("part")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("slot") % 64)).alias("bits")
-    )
-    table = [0] * (1 << (FILTER_BITS - 6))
-    for row in bits.collect():
-        table[row["part"]] = row["bits"]
-    word = F.element_at(fixed_array(table, "bigint"), F.shiftright(slot, 6) + 1)
-    return docs.filter(F.getbit(word, slot % 64) == 1)
+    links = both.filter(common * (100 + percent) >= (F.size("tokens1") + F.size("tokens2")) * percent)
+    return links.select(F.col("id2").alias("id")).distinct()
 
 
 def removals(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
@@ -169,24 +182,24 @@ def removals(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS
     all its later places go in any case.
     """
     docs = docs.select("doc_id", "text")
-    ranks = slot_ranks(docs)
-    lines = line_sets(docs, ranks, min_words)
-    classes = line_classes(lines, percent).withColumn("id", F.monotonically_increasing_id())
-    classes = stored(classes, "line-classes")
-    pairs = stored(candidates(classes, percent), "line-pairs")
-    ids = pairs.select(F.col("id1").alias("id")).unionByName(pairs.select(F.col("id2").alias("id"))).distinct()
-    ends = stored(classes.select("id", "a", "b", "first").join(ids, "id", "left_semi"), "line-ends")
-    near = holding(docs, ends.select("first.doc_id"))
-    sets = line_sets(near, ranks, min_words).select(*_key(), "tokens").join(ends, ["a", "b"])
-    sets = stored(sets.groupBy("id").agg(F.any_value("first").alias("first"), F.any_value("tokens").alias("tokens")), "line-sets")
-    links = verified(pairs, sets, percent)
-    gone = links.select(F.when(F.col("first1") < F.col("first2"), F.col("id2")).otherwise(F.col("id1")).alias("id")).distinct()
-    gone = stored(gone, "line-gone")
-    marked = classes.select("id", "a", "b", "first", "copies").join(gone.withColumn("gone", F.lit(True)), "id", "left")
-    affected = stored(marked.filter("copies > 1 OR gone").select("a", "b", "first", "gone"), "line-affected")
-    keyed = lines.select("doc_id", "h", "line", *_key())
-    place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "h", "line")
-    return keyed.join(affected, ["a", "b"]).filter(F.col("gone") | (place != F.col("first"))).select("doc_id", "h", "line")
+    with shuffles_dropped(docs.sparkSession):
+        sets = stored(line_sets(docs, percent), "line-words").filter(F.col("n") >= min_words)
+        keyed = stored(line_classes(sets), "line-classes")
+        lines = stored(sets.select(*_PLACE, "a", "b"), "lines")
+        discard(sets)
+        classes = stored(keyed.drop("keys"), "line-classes")
+        shared = stored(alike(keyed, stored(ranked(keyed), "line-ranks")), "line-keys")
+        discard(keyed)
+        pairs = stored(led(shared, percent), "line-pairs")
+        gone = stored(matched(docs, classes, pairs, percent), "line-gone")
+        rest = stored(others(shared, gone, percent).join(pairs, ["id1", "id2"], "left_anti"), "line-pairs")
+        gone = stored(gone.unionByName(matched(docs, classes, rest, percent)).distinct(), "line-gone")
+        discard(shared)
+        marked = classes.select("id", "a", "b", "first", "copies").join(gone.withColumn("gone", F.lit(True)), "id", "left")
+        affected = stored(marked.filter("copies > 1 OR gone").select("a", "b", "first", "gone"), "line-affected")
+    place = F.struct(*_PLACE)
+    found = lines.select(*_PLACE, "a", "b").join(affected, ["a", "b"])
+    return found.filter(F.col("gone") | (place != F.col("first"))).select("doc_id", "h", "line")
 
 
 def without_lines(docs: DataFrame, removed: DataFrame) -> DataFrame:

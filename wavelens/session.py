@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 METHOD_CONF = "spark.sql.codegen.hugeMethodLimit"
+CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Bytes of a method above which the JVM never compiles it.
 METHOD_BYTES = 8000
 
@@ -77,6 +78,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Remove a table that ``stored`` wrote, when nothing reads it any more."""
+    context = table.sparkSession.sparkContext
+    for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
+        if "/scratch/" in folder:
+            path = context._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def small_methods(spark: SparkSession) -> Iterator[None]:
     """Jobs run meanwhile use no generated method so long that the JVM would only interpret it.
@@ -92,6 +102,20 @@ def small_methods(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(METHOD_CONF, before)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Jobs run meanwhile drop their shuffle files when they end, not when the driver's memory is next tidied.
+
+    For queries of several jobs, each of which starts from stored tables.
+    """
+    before = spark.conf.get(CLEANUP_CONF)
+    spark.conf.set(CLEANUP_CONF, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP_CONF, before)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder so that later rounds start from files."""
     spark = df.sparkSession
