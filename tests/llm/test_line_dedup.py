@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 from helpers import DOC, EDGES, edges, empty
@@ -8,12 +9,12 @@ from wavelens.llm.registry import SQL, op3_line_dedup
 SF = "/root/testdata/sf0.001"
 
 
-def brute(rows):
+def brute(rows, percent=80):
     lines = [(d is None, d or 0, n, set(x.split())) for d, t in rows for n, x in enumerate((t or "").split("\n"))]
     lines = sorted((x for x in lines if x[3]), key=lambda x: x[:3])
     out = Counter()
     for i, (none, d, n, ws) in enumerate(lines):
-        if any(180 * len(ws & o) >= 80 * (len(ws) + len(o)) for _, _, _, o in lines[:i]):
+        if any((100 + percent) * len(ws & o) >= percent * (len(ws) + len(o)) for _, _, _, o in lines[:i]):
             out[None if none else d, n] += 1
     return out
 
@@ -73,6 +74,17 @@ def test_a_group_of_near_copies_does_not_make_all_its_pairs(spark, monkeypatch):
     assert 59 <= sum(made) < 10 * len(rows)  # all pairs are 1,770
 
 
+def test_other_shares_and_sets_longer_than_an_id_tells(spark):
+    draw = random.Random(3)
+    sizes = [draw.randrange(1, 14) for _ in range(150)]
+    rows = [(i, " ".join(draw.sample([f"{'w' * (k % 4)}{k}" for k in range(15)], n))) for i, n in enumerate(sizes)]
+    long = [f"w{k}" for k in range(700)]
+    rows += [(200 + k, " ".join(long[: 700 - k])) for k in (0, 130, 150, 400)]
+    docs = spark.createDataFrame(rows, DOC)
+    for percent in (50, 67, 90):
+        assert found(ld.report(docs, percent)) == brute(rows, percent)
+
+
 def test_no_rows(spark):
     assert ld.report(empty(spark)).count() == 0
 
