@@ -85,6 +85,35 @@ def test_other_shares_and_sets_longer_than_an_id_tells(spark):
         assert found(ld.report(docs, percent)) == brute(rows, percent)
 
 
+def test_long_lines_that_share_words_of_a_key_alone_make_no_pairs(spark, monkeypatch):
+    made, stored = [], ld.stored
+
+    def counted(df, name):
+        out = stored(df, name)
+        made.append(out.count() if name == "line-pairs" else 0)
+        return out
+
+    monkeypatch.setattr(ld, "stored", counted)
+    draw = random.Random(5)
+    words = [f"w{i:04}" for i in range(9000)]
+    rows = [(i, " ".join(["commonword1", "commonword2", *draw.sample(words, 200)])) for i in range(60)]
+    rows += [(60 + i, rows[i][1].rsplit(" ", 20)[0]) for i in range(5)]
+    assert found(ld.report(spark.createDataFrame(rows, DOC))) == brute(rows) == Counter((60 + i, 0) for i in range(5))
+    assert 5 <= sum(made) <= 10  # by 64 bits, as many as the lines and more
+
+
+def test_slices_of_keys_lose_no_pair(spark, monkeypatch):
+    named, stored = [], ld.stored
+    monkeypatch.setattr(ld, "stored", lambda df, name: named.append(name) or stored(df, name))
+    monkeypatch.setattr(ld, "SLICE_LINES", 30)
+    draw = random.Random(4)
+    words = [f"word{i}" for i in range(40)]
+    rows = [(draw.randrange(90), "\n".join(" ".join(draw.sample(words[j : j + 14], 12)) for j in (0, 3, 20))) for _ in range(40)]
+    rows = [(i, t) for i, (_, t) in enumerate(rows)]
+    assert found(ld.report(spark.createDataFrame(rows, DOC))) == brute(rows)
+    assert named.count("line-shared") == 5
+
+
 def test_no_rows(spark):
     assert ld.report(empty(spark)).count() == 0
 

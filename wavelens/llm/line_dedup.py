@@ -6,8 +6,8 @@ only one of two sets has breaks at most two keys of that set and one of the othe
 sets of Jaccard similarity ``t`` must share one of the first ``2 (1 - t) n + 1`` keys of each
 (prefix filter; below ``PAIRS_FROM`` percent, keys are single words). Sets that share a key
 only make a pair if their sizes are within a factor ``t`` of each other (length filter). A
-set's words also switch bits of a 64-bit mask; as every bit in which two masks differ is a
-word that only one set has, masks too far apart rule a pair out as well. What remains is
+set's words also switch bits of a mask of 256 bits; as every bit in which two masks differ is
+a word that only one set has, masks too far apart rule a pair out as well. What remains is
 verified on the whole sets, and a line goes if any earlier line matches it.
 
 Members of a group of sets with the same key are first compared with its earliest, the
@@ -15,12 +15,15 @@ leader, and with the one before them. Only sets that go by none of these are com
 all earlier members of their groups, so a large group of near copies does not make all its
 pairs.
 
+Keys are taken in slices, one after the other, so that shuffle files hold one slice at most.
+
 A word is 56 bits of its hash and its length.
 """
 
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -36,8 +39,12 @@ MIN_WORDS = 1
 PAIRS_FROM = 67
 #: Bits of an id that hold its set's size, as far as they go.
 SIZE_BITS = 9
+#: Lines for which one more slice of the keys is taken, up to so many slices.
+SLICE_LINES = 1 << 17
+MOST_SLICES = 8
 _HASH_BITS = 56
 _PLACE = ("unknown", "doc_id", "h", "line")
+_MASKS = ("mask0", "mask1", "mask2", "mask3")
 
 
 def fixed_array(numbers: list[int], kind: str) -> Column:
@@ -69,11 +76,14 @@ def _lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def _mask(tokens: Column) -> Column:
-    """64 bits, each switched by every word whose hash picks it."""
+def _mask(tokens: Column, lane: int) -> Column:
+    """64 bits, each switched by every word whose hash picks this lane and the bit."""
     return F.aggregate(
         tokens, F.lit(0).cast("long"),
-        lambda bits, t: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))),
+        lambda bits, t: F.when(
+            t.bitwiseAND(64 * (len(_MASKS) - 1)) == 64 * lane,
+            bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), t.bitwiseAND(63).cast("int"))),
+        ).otherwise(bits),
     )
 
 
@@ -94,66 +104,93 @@ def keys(tokens: Column, percent: int) -> Column:
 
 
 def line_sets(docs: DataFrame, percent: int) -> DataFrame:
-    """``(id, place..., a, b, n, mask, keys)`` of all lines; ``a, b`` are equal for equal sets."""
+    """``(row, place..., a, b, n, masks..., keys)`` of all lines; ``a, b`` are equal for equal sets."""
     sets = _lines(docs).select(*_PLACE, words(F.col("text")).alias("tokens"))
     t = F.col("tokens")
-    n = F.size(t)
-    found = sets.select(
-        *_PLACE, F.xxhash64(t).alias("a"), F.xxhash64(t, F.lit(1)).alias("b"), n.alias("n"), _mask(t).alias("mask"),
-        keys(t, percent).alias("keys"),
+    return sets.select(
+        F.monotonically_increasing_id().alias("row"), *_PLACE,
+        F.xxhash64(t).alias("a"), F.xxhash64(t, F.lit(1)).alias("b"), F.size(t).alias("n"),
+        *(_mask(t, lane).alias(m) for lane, m in enumerate(_MASKS)), keys(t, percent).alias("keys"),
     )
-    size = F.least("n", F.lit((1 << SIZE_BITS) - 1))
-    return found.select((F.shiftleft(F.monotonically_increasing_id(), SIZE_BITS) + size).alias("id"), *found.columns)
 
 
 def line_classes(lines: DataFrame) -> DataFrame:
-    """One row per distinct set: the id, place and keys of its first line, and how many it has.
+    """``(id, row, a, b, first, copies)``: one row per distinct set, with row and place of its first line.
 
-    Partial aggregation leaves one row per task of a line that many documents share.
+    A later first place has a larger ``id``, which ends with the set's size. Partial
+    aggregation leaves one row per task of a line that many documents share.
     """
-    first = F.min(F.struct(*_PLACE, "id")).alias("first")
-    grouped = lines.groupBy("a", "b").agg(
-        first, F.count(F.lit(1)).alias("copies"), F.any_value(F.struct("n", "mask", "keys")).alias("facts")
+    first = F.min(F.struct(*_PLACE, "row", "n")).alias("first")
+    grouped = lines.groupBy("a", "b").agg(first, F.count(F.lit(1)).alias("copies"))
+    size = F.least("first.n", F.lit((1 << SIZE_BITS) - 1))
+    return grouped.orderBy(*(f"first.{c}" for c in _PLACE)).select(
+        (F.shiftleft(F.monotonically_increasing_id(), SIZE_BITS) + size).alias("id"), "first.row", "a", "b",
+        F.col("first").dropFields("row", "n").alias("first"), "copies",
     )
-    return grouped.select("first.id", "a", "b", F.col("first").dropFields("id").alias("first"), "copies", "facts.*")
 
 
-def ranked(classes: DataFrame) -> DataFrame:
-    """``(id, mask, rank)``: ``rank`` follows the first places."""
-    placed = classes.select("id", "mask", "first").orderBy("first")
-    return placed.select("id", "mask", F.monotonically_increasing_id().alias("rank"))
+def of_slice(number: str, slices: int, part: int) -> Column:
+    """Whether a number is of this slice. The slice stands in an array and not in the
+    compiled code, which all slices share.
+    """
+    return F.array_contains(fixed_array([part], "long"), F.pmod(F.col(number), F.lit(slices).cast("long")))
+
 
+def together(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
 
-def alike(classes: DataFrame, ranks: DataFrame) -> DataFrame:
-    """``(id, key, members, mask, rank)`` of the sets that share a key with others."""
-    entries = classes.select(F.explode("keys").alias("key"), "id").repartition("key")
-    groups = entries.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    return entries.join(groups.hint("shuffle_hash"), "key").join(ranks, "id")
+
+def keyed(sets: DataFrame, classes: DataFrame, slices: int) -> DataFrame:
+    """``(id, masks..., keys)`` of every set that has keys, from its first line."""
+    rows, first = sets.select("row", *_MASKS, "keys").filter(F.size("keys") > 0), classes.select("id", "row")
+    parts = [of_slice("row", slices, s) for s in range(slices)]
+    return together([stored(rows.filter(p).join(first.filter(p), "row").drop("row"), "line-facts") for p in parts])
 
 
 def _near(x: str, y: str, percent: int) -> Column:
     """Whether sizes and masks of two rows of ``alike`` leave it open that the sets match."""
-    n, m = (F.col(f"{r}.id").bitwiseAND((1 << SIZE_BITS) - 1) for r in (x, y))
+    n, m = (F.col(f"{r}id").bitwiseAND((1 << SIZE_BITS) - 1) for r in (x, y))
     length = F.least(n, m) * 100 >= F.greatest(n, m) * percent
-    apart = F.bit_count(F.col(f"{x}.mask").bitwiseXOR(F.col(f"{y}.mask")))
+    apart = sum((F.bit_count(F.col(f"{x}{c}").bitwiseXOR(F.col(f"{y}{c}"))) for c in _MASKS), F.lit(0))
     cut = F.greatest(n, m) == (1 << SIZE_BITS) - 1
     return length & (cut | ((n + m - apart) * (100 + percent) >= 2 * (n + m) * percent))
 
 
-def led(shared: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``(id1, id2)`` of members of a key with its leader and with the member before them, filtered."""
-    before = W.partitionBy("key").orderBy("rank")
-    one = F.struct("id", "mask")
-    found = shared.select("id", "mask", F.first(one).over(before).alias("first"), F.lag(one).over(before).alias("last"))
-    found = found.select("id", "mask", F.explode(F.array("first", "last")).alias("x")).alias("y").filter(F.col("x.id") != F.col("y.id"))
-    return found.filter(_near("x", "y", percent)).select(F.col("x.id").alias("id1"), F.col("y.id").alias("id2")).distinct()
+def alike(facts: DataFrame, slices: int, part: int, percent: int) -> DataFrame:
+    """``(key, id, nth, members, near)`` of the sets that share a key with others, for one slice of the keys.
+
+    A set is the ``nth`` of the key's ``members``; ``near`` has the first of them and the one
+    before the set, where sizes and masks leave it open that they match it. Of up to three
+    members these are all earlier ones, so only rows that have such are kept there.
+    """
+    entries = facts.select(F.explode("keys").alias("key"), "id", *_MASKS).filter(of_slice("key", slices, part))
+    order, one = W.partitionBy("key").orderBy("id"), F.struct("id", *_MASKS)
+    found = entries.select(
+        "*", F.row_number().over(order).alias("nth"),
+        F.count(F.lit(1)).over(order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)).cast("int").alias("members"),
+        F.first(one).over(order.rowsBetween(W.unboundedPreceding, 0)).alias("first"), F.lag(one).over(order).alias("last"),
+    ).filter("members > 1")
+    near = [F.when((F.col(f"{x}.id") < F.col("id")) & _near(f"{x}.", "", percent), F.col(f"{x}.id")) for x in ("first", "last")]
+    found = found.select("key", "id", "nth", "members", F.array_compact(F.array_distinct(F.array(*near))).alias("near"))
+    return found.filter((F.col("members") > 3) | (F.size("near") > 0))
+
+
+def led(shared: DataFrame) -> DataFrame:
+    """Pairs ``(id1, id2)`` of members of a key with its first and with the member before them, filtered."""
+    return shared.select(F.explode("near").alias("id1"), F.col("id").alias("id2")).distinct()
+
+
+def rest_of(shared: DataFrame, facts: DataFrame, gone: DataFrame) -> DataFrame:
+    """``(key, id, nth, masks..., gone)`` of the members of keys in which ``led`` leaves pairs out."""
+    masks = facts.select("id", *_MASKS).join(gone.withColumn("gone", F.lit(True)), "id", "left")
+    return shared.filter("members > 3 AND nth > 1").select("key", "id", "nth").join(masks, "id")
 
 
-def others(shared: DataFrame, gone: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``(id1, id2)`` of earlier members and later ones that are not ``gone``."""
-    rest = shared.filter("members > 2").select("key", "id", "mask", "rank")
-    found = rest.join(gone, "id", "left_anti").alias("y").join(rest.alias("x"), "key").filter(F.col("x.rank") < F.col("y.rank"))
-    return found.filter(_near("x", "y", percent)).select(F.col("x.id").alias("id1"), F.col("y.id").alias("id2")).distinct()
+def others(rest: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(id1, id2)`` of members that are not ``gone`` with the earlier ones that ``led`` leaves out, filtered."""
+    late = rest.filter("nth > 3 AND gone IS NULL").alias("y")
+    found = late.join(rest.alias("x"), "key").filter("x.nth < y.nth - 1 AND x.id < y.id").filter(_near("x.", "y.", percent))
+    return found.select(F.col("x.id").alias("id1"), F.col("y.id").alias("id2")).distinct()
 
 
 def matched(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -183,20 +220,25 @@ def removals(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS
     """
     docs = docs.select("doc_id", "text")
     with shuffles_dropped(docs.sparkSession):
-        sets = stored(line_sets(docs, percent), "line-words").filter(F.col("n") >= min_words)
-        keyed = stored(line_classes(sets), "line-classes")
+        sets = stored(line_sets(docs, percent).filter(F.col("n") >= min_words), "line-words")
+        slices = min(MOST_SLICES, 1 + sets.count() // SLICE_LINES)
+        classes = stored(line_classes(sets), "line-classes")
+        facts = keyed(sets, classes, slices)
         lines = stored(sets.select(*_PLACE, "a", "b"), "lines")
         discard(sets)
-        classes = stored(keyed.drop("keys"), "line-classes")
-        shared = stored(alike(keyed, stored(ranked(keyed), "line-ranks")), "line-keys")
-        discard(keyed)
-        pairs = stored(led(shared, percent), "line-pairs")
+        shared = together([stored(alike(facts, slices, s, percent), "line-shared") for s in range(slices)])
+        pairs = stored(led(shared), "line-pairs")
         gone = stored(matched(docs, classes, pairs, percent), "line-gone")
-        rest = stored(others(shared, gone, percent).join(pairs, ["id1", "id2"], "left_anti"), "line-pairs")
-        gone = stored(gone.unionByName(matched(docs, classes, rest, percent)).distinct(), "line-gone")
+        rest = stored(rest_of(shared, facts, gone), "line-rest")
+        discard(facts)
         discard(shared)
-        marked = classes.select("id", "a", "b", "first", "copies").join(gone.withColumn("gone", F.lit(True)), "id", "left")
-        affected = stored(marked.filter("copies > 1 OR gone").select("a", "b", "first", "gone"), "line-affected")
+        parts = [rest.filter(of_slice("key", slices, s)) for s in range(slices)]
+        found = together([stored(others(part, percent), "line-found") for part in parts])
+        discard(rest)
+        later = stored(found.distinct().join(pairs, ["id1", "id2"], "left_anti"), "line-pairs")
+        gone = stored(gone.unionByName(matched(docs, classes, later, percent)).distinct(), "line-gone")
+        known = classes.select("id", "a", "b", "first", "copies").join(gone.withColumn("gone", F.lit(True)), "id", "left")
+        affected = stored(known.filter("copies > 1 OR gone").select("a", "b", "first", "gone"), "line-affected")
     place = F.struct(*_PLACE)
     found = lines.select(*_PLACE, "a", "b").join(affected, ["a", "b"])
     return found.filter(F.col("gone") | (place != F.col("first"))).select("doc_id", "h", "line")
