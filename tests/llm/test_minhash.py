@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import pytest
@@ -113,6 +114,23 @@ def test_a_hot_group_gives_no_pairs(spark):
     assert mh.collisions(mh.postings(vertices, 32, 16), vertices, 16).count() < 32 * 400
 
 
+def test_tables_sized_too_low_are_not_broadcast(spark, monkeypatch):
+    plans, stored = [], mh.stored
+
+    def planned(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, name)
+
+    monkeypatch.setattr(mh, "stored", planned)
+    monkeypatch.setattr("wavelens.llm.components.stored", planned)
+    rows = [(i, " ".join([BASE, f"x{i // 2}", *(f"y{i // 2}z{k}" for k in range(i // 2 % 7 * 20))])) for i in range(60)]
+    found = mh.near_dedup(spark.createDataFrame(rows, DOC), 2)
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert found.count() == 60
+    keys = {k for plan in plans for k in re.findall(r"BroadcastHashJoin \[(\w+)#", plan)}
+    assert not keys & {"sig", "key", "row", "root", "set"}, keys
+
+
 def test_registered_query_against_sql(spark):
     from parity import compare, connect
     from wavelens.llm.registry import QUERIES, SQL

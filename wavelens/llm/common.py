@@ -51,10 +51,11 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, spread: str, salts:
     """Inner join of ``left`` to ``right`` (one row per ``key``), a key's rows dealt over tasks.
 
     Rows of ``left`` go by the hash of their column ``spread``, those of ``right`` to all.
+    Spark does not count the copies when it sizes ``right``, so it is told not to broadcast it.
     """
     salt = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
     every = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.withColumn("_salt", salt).join(every, [key, "_salt"]).drop("_salt")
+    return left.withColumn("_salt", salt).join(every.hint("merge"), [key, "_salt"]).drop("_salt")
 
 
 def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -17,6 +17,10 @@ them but for a few in 100,000.
 4. Within families, links are confirmed on the full sets, in blocks of bounded size.
    Blocks of a large family are first compared within themselves, with one member of the
    family in all of them; after that, only what is still apart is compared across.
+
+Joins of tables that grow with the documents are hinted to merge: Spark takes an array for
+one element, an exploded table for the one before it and a stored one for its compressed
+files, and would broadcast tables many times as large as its threshold through the driver.
 """
 
 from __future__ import annotations
@@ -149,7 +153,7 @@ def postings(vertices: DataFrame, k: int, matches: int) -> DataFrame:
     pair = F.shiftleft(F.col("i").cast("long"), 32).bitwiseOR(F.col("v").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
     pairs = vertices.select("row", F.posexplode("sig").alias("i", "v")).select("row", pair.alias("key"))
     shared = pairs.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    own = pairs.join(shared, "key").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("own"))
+    own = pairs.join(shared.hint("merge"), "key").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("own"))
     prefix = F.size("own") - F.lit(matches - 1)
     return own.filter(F.size("own") >= matches).select(
         "row", F.explode(F.slice("own", F.lit(1), prefix)).alias("p")
@@ -168,7 +172,7 @@ def collisions(posted: DataFrame, vertices: DataFrame, matches: int, block: int
         posted.withColumn("blocks", blocks).withColumn("own", own).select("key", "row", "own", other)
         .select("key", "row", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
     )
-    full = dealt.join(vertices.select("row", "sig"), "row").select("key", "x", "y", "row", "sig")
+    full = dealt.join(vertices.select("row", "sig").hint("merge"), "row").select("key", "x", "y", "row", "sig")
 
     def work(rows: pa.Table, starts: np.ndarray) -> pa.RecordBatch | None:
         node = np.asarray(rows.column("row"))
@@ -324,7 +328,7 @@ def _across(sized: DataFrame, near: DataFrame, percent: int, block: int) -> Data
     block. A family that hangs together already has no other part and costs nothing.
     """
     part = components(near).withColumnRenamed("node", "row").withColumnRenamed("component", "part")
-    parted = stored(sized.join(part, "row", "left").withColumn("part", F.coalesce("part", "row")), "parts")
+    parted = stored(sized.join(part.hint("merge"), "row", "left").withColumn("part", F.coalesce("part", "row")), "parts")
     counted = parted.groupBy("family", "part").agg(F.count(F.lit(1)).alias("n"))
     largest = counted.groupBy("family").agg(F.max(F.struct("n", "part")).alias("m"), F.sum("n").alias("size"))
     apart = largest.filter(F.col("m.n") < F.col("size")).select(
@@ -373,19 +377,19 @@ def near_dedup(
     classes = rows.filter("n > 0").groupBy("set").agg(first, F.any_value("n").alias("n"), F.any_value("sig").alias("sig"))
     classes = stored(classes.select("set", "first", F.col("first.row").alias("row"), F.col("first.doc_id").alias("doc_id"), "sig"), "classes")
     vertex = classes.groupBy("sig").agg(F.min("row").alias("vertex"))
-    same = classes.join(vertex, "sig").filter("row <> vertex").select(F.col("vertex").alias("a"), F.col("row").alias("b"))
+    same = classes.join(vertex.hint("merge"), "sig").filter("row <> vertex").select(F.col("vertex").alias("a"), F.col("row").alias("b"))
     vertices = vertex.select(F.col("vertex").alias("row"), "sig")
     similar = collisions(postings(vertices, k, matches), vertices, matches)
     family = stored(components(similar.unionByName(same)), "families").select(F.col("node").alias("row"), F.col("component").alias("family"))
-    members = classes.select("row", "doc_id", "set").join(family, "row")
+    members = classes.select("row", "doc_id", "set").join(family.hint("merge"), "row")
     sets = stored(full_sets(docs, members, words), "sets")
     links = components(confirm(sets, percent)).select(F.col("node").alias("row"), F.col("component").alias("root"))
-    rooted = classes.join(links, "row", "left").select("set", "first", "root")
+    rooted = classes.join(links.hint("merge"), "row", "left").select("set", "first", "root")
     linked = rooted.filter("root IS NOT NULL")
     keep = linked.groupBy("root").agg(F.min("first").alias("keep"))
     labels = salted_join(linked, keep, "root", "set").select("set", "keep")
     labels = labels.unionByName(rooted.filter("root IS NULL").select("set", F.col("first").alias("keep")))
-    out = rows.filter("n > 0").join(labels, "set").select(
+    out = rows.filter("n > 0").join(labels.hint("merge"), "set").select(
         "doc_id", F.col("n").alias("n_shingles"), F.col("keep.doc_id").alias("component_id"),
         (F.col("row") == F.col("keep.row")).alias("kept"),
     )
